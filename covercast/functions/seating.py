@@ -140,14 +140,21 @@ def pacing_capacity(
     )
 
 
+def pacing_rules(pacing: Column) -> Column:
+    """The pacing document as a map; null when it is not a readable object."""
+    return F.when(F.try_parse_json(pacing).isNotNull(), F.from_json(pacing, _TEXT_MAP))
+
+
+def listed_guests(rules: Column, minute: Column) -> Column:
+    """Whole guests a parsed pacing map lists for a minute, toward zero."""
+    text = F.try_element_at(rules, minute.cast("string"))
+    return F.coalesce(text.try_cast("double").try_cast("bigint"), leading_int(text).cast("bigint"))
+
+
 def pacing_at_minute(pacing: Column, minute: Column, default: Column | None = None) -> Column:
     """Whole guests listed for one minute of the day, else ``default``.
 
     Negative entries are returned as they are.
     """
-    text = F.try_element_at(
-        F.when(F.try_parse_json(pacing).isNotNull(), F.from_json(pacing, _TEXT_MAP)),
-        minute.cast("string"),
-    )
-    whole = F.coalesce(text.try_cast("double").try_cast("bigint"), leading_int(text).cast("bigint"))
+    whole = listed_guests(pacing_rules(pacing), minute)
     return whole if default is None else F.coalesce(whole, default.cast("bigint"))
