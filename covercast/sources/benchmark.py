@@ -34,16 +34,18 @@ def _turns(base: str, with_nine: bool = True) -> str:
 def durations_sql(variant: str, base: str) -> str:
     """SQL text (valid in both dialects) of the turn-time document of a table."""
     full, later, short = _turns(base), _turns(f"{base} + 15"), _turns(base, with_nine=False)
+    def document(*ranges: tuple[str, str]) -> str:
+        body = " || ',' || ".join(f"'\"{clock}\":' || {turns}" for clock, turns in ranges)
+        return f"'{{' || {body} || '}}'"
+
     return (
-        f"case {variant} "
-        f"when 0 then '{{\"11:00\":' || {full} || ',\"17:00\":' || {later} || '}}' "
-        f"when 1 then '{{\"11:00\":' || {short} || ',\"17:00\":' || {short} || '}}' "
-        f"when 2 then '{{\"17:00\":' || {full} || ',\"10:00\":' || {later} || '}}' "
-        "when 3 then '{\"18:00\":{\"2\":0,\"4\":0,\"6\":0,\"8\":0,\"9\":0}}' "
-        "when 4 then '{}' "
-        "when 5 then '{broken' "
-        f"when 6 then '{{\"06:00\":' || {full} || ',\"11:00\":' || {full} || ',\"12:30\":' || {later} || '}}' "
-        "else '{\"10:00\":{\"2\":75,\"4\":null}}' end"
+        f"case when {variant} < 6 then {document(('11:00', full), ('17:00', later))} "
+        f"when {variant} < 9 then {document(('11:00', short), ('17:00', short))} "
+        f"when {variant} < 11 then {document(('17:00', full), ('10:00', later))} "
+        f"when {variant} < 13 then {document(('06:00', full), ('11:00', full), ('12:30', later))} "
+        f"when {variant} = 13 then '{{\"18:00\":{{\"2\":0,\"4\":0,\"6\":0,\"8\":0,\"9\":0}}}}' "
+        f"when {variant} = 14 then '{{\"10:00\":{{\"2\":75,\"4\":null}}}}' "
+        "when venue % 2 = 0 then '{}' else '{broken' end"
     )
 
 
@@ -144,7 +146,7 @@ def shift_templates(part: DataFrame) -> DataFrame:
 def template_tables(part: DataFrame) -> DataFrame:
     """One row per (template, table): every part is a table of one template."""
     placed = part.selectExpr(
-        "p_partkey as p", "p_size as size", "p_partkey div 100 as venue", "(p_partkey % 100) % 15 as t"
+        "p_size as size", "p_partkey div 100 as venue", "(p_partkey % 100) % 15 as t"
     ).selectExpr("*", "t % 3 as shift", "t div 3 as version")
     return placed.selectExpr(
         "venue * 100 + t as int_id",
@@ -164,7 +166,7 @@ def template_tables(part: DataFrame) -> DataFrame:
         f"case when t = 13 and venue % 4 = 2 then null else {_START.format('shift')} end as shift_start_time_min",
         f"{_END.format('shift')} as shift_end_time_min",
         "cast(null as string) as duration_minutes_by_party_size_str",
-        f"{durations_sql('p % 8', '(45 + size)')} as duration_dict_ranges_str",
+        f"{durations_sql('(venue * 5 + t * 3) % 16', '(45 + (venue + t) % 40)')} as duration_dict_ranges_str",
     )
 
 
@@ -200,7 +202,7 @@ def override_tables(supplier: DataFrame) -> DataFrame:
         f"{_START.format('j')} as shift_start_time_min",
         f"{_END.format('j')} as shift_end_time_min",
         "cast(null as string) as duration_minutes_by_party_size_str",
-        f"{durations_sql('0', '(60 + size)')} as duration_dict_ranges_str",
+        f"{durations_sql('0', '(60 + j * 5)')} as duration_dict_ranges_str",
     )
 
 
