@@ -220,17 +220,17 @@ def backtest_window(src):
 
 @_query
 def final_outcomes(src):
-    return training.quantile_outcomes(src, AS_OF)[0]
+    return training.quantile_outcomes(src, AS_OF)
 
 
 @_query
 def weekday_threshold(src):
-    return labels.weekday_threshold(training.quantile_outcomes(src, AS_OF)[0])
+    return labels.weekday_threshold(training.quantile_outcomes(src, AS_OF))
 
 
 @_query
 def label_quantile(src):
-    return labels.label_by_quantile(training.quantile_outcomes(src, AS_OF)[0])
+    return labels.label_by_quantile(training.quantile_outcomes(src, AS_OF))
 
 
 # --- snapshots ------------------------------------------------------------------

@@ -20,6 +20,7 @@ from covercast.functions.basic import ratio_or_zero
 from covercast.keys import INSTANCE
 
 LAST_DAY = 365
+VELOCITY_DAYS = (7, 14, 30, 60)
 
 
 def _lead() -> Column:
@@ -45,49 +46,75 @@ def snapshot_scaffold(instances: DataFrame, horizons: Column | None = None) -> D
     return with_snapshot_day(instances.withColumn("day_prior", F.explode(days)))
 
 
-def _steps(changes: DataFrame, measures: Iterable[str]) -> DataFrame:
+def _steps(changes: DataFrame, measures: Iterable[str], total: str | None = None) -> DataFrame:
     """Turn changes at ``at`` into running totals valid for ``lo``..``hi``.
 
-    ``changes`` hold one row per sitting and distinct ``at`` in 0..last day, so
-    a window never sees more rows than there are horizon days.
+    ``changes`` hold one row per sitting and distinct ``at`` up to the last
+    day, so a window never sees more rows than there are horizon days. An
+    ``at`` of -1 stands for "never visible".
     """
-    downward = Window.partitionBy(*INSTANCE).orderBy(F.desc("at"))
+    sitting = Window.partitionBy(*INSTANCE)
+    downward = sitting.orderBy(F.desc("at"))
     so_far = downward.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return changes.select(
+    totals = [F.sum(total).over(sitting).alias("final_actual_covers")] if total else []
+    steps = changes.select(
         *INSTANCE,
         F.col("at").alias("hi"),
         F.coalesce(F.lead("at").over(downward) + 1, F.lit(0)).alias("lo"),
         F.lag("at").over(downward).isNull().alias("topmost"),
         *[F.sum(m).over(so_far).alias(m) for m in measures],
+        *totals,
     )
+    return steps.filter((F.col("hi") >= 0) | F.col("topmost"))
 
 
-def _expand(instances: DataFrame, steps: DataFrame, measures: Iterable[str], last_day: int) -> DataFrame:
-    """Join steps to sittings and list the snapshots each step covers.
+def expand_steps(joined: DataFrame, measures: Iterable[str], last_day: int) -> DataFrame:
+    """List the snapshots each step covers, for sittings joined to their steps.
 
     The topmost step also lists the earlier snapshots, where nothing was
     visible yet; a sitting without steps lists them all.
     """
-    measures = list(measures)
     top = F.when(F.col("hi").isNull() | F.col("topmost"), F.lit(last_day)).otherwise(F.col("hi"))
     seen = F.coalesce(F.col("day_prior") <= F.col("hi"), F.lit(False))
-    return (
-        instances.join(steps, INSTANCE, "left")
-        .withColumn("day_prior", F.explode(F.sequence(F.coalesce("lo", F.lit(0)), top)))
+    expanded = (
+        joined.withColumn("day_prior", F.explode(F.sequence(F.coalesce("lo", F.lit(0)), top)))
         .withColumns({m: F.when(seen, F.col(m)).otherwise(0) for m in measures})
         .drop("hi", "lo", "topmost")
     )
+    return with_snapshot_day(expanded)
+
+
+def booking_curve(bookings: DataFrame, last_day: int = LAST_DAY, running: bool = False) -> DataFrame:
+    """Steps of the guests visible per snapshot (``visible``), and the final
+    guests of the sitting, from one aggregation of the bookings.
+
+    ``running`` adds what ``running_snapshots`` needs.
+    """
+    covers = F.col("covers_created_on_day")
+    at = F.when(_lead() >= 0, F.least(_lead(), F.lit(last_day))).otherwise(F.lit(-1))
+    sums = {"visible": F.sum(covers)}
+    if running:
+        sums |= {"reached": F.sum(covers * (at + 1)), "booking_days": F.count(F.lit(1))}
+    changes = bookings.groupBy(*INSTANCE, at.alias("at")).agg(
+        *[column.alias(name) for name, column in sums.items()]
+    )
+    return _steps(changes, sums, total="visible")
+
+
+def attach_curve(sittings: DataFrame, curve: DataFrame) -> DataFrame:
+    """Sittings times their steps; a sitting without bookings stays one row."""
+    return sittings.join(curve, INSTANCE, "left")
+
+
+def one_per_sitting(joined: DataFrame) -> DataFrame:
+    """Of sittings joined to their steps, one row each."""
+    return joined.filter(F.col("hi").isNull() | F.col("topmost"))
 
 
 def asof_covers(instances: DataFrame, bookings: DataFrame, last_day: int = LAST_DAY) -> DataFrame:
     """Guests booked on or before each snapshot day, snapshots 0..``last_day``."""
-    changes = (
-        bookings.filter(_lead() >= 0)
-        .groupBy(*INSTANCE, F.least(_lead(), F.lit(last_day)).alias("at"))
-        .agg(F.sum("covers_created_on_day").alias("covers_as_of_date"))
-    )
-    measures = ["covers_as_of_date"]
-    return with_snapshot_day(_expand(instances, _steps(changes, measures), measures, last_day))
+    joined = attach_curve(instances, booking_curve(bookings, last_day).drop("final_actual_covers"))
+    return expand_steps(joined, ["visible"], last_day).withColumnRenamed("visible", "covers_as_of_date")
 
 
 def recent_pace(
@@ -112,7 +139,7 @@ def recent_pace(
         .agg(F.sum("covers_recent").alias("covers_recent"))
     )
     measures = ["covers_recent"]
-    return with_snapshot_day(_expand(instances, _steps(changes, measures), measures, last_day))
+    return expand_steps(attach_curve(instances, _steps(changes, measures)), measures, last_day)
 
 
 def with_copies(instances: DataFrame) -> DataFrame:
@@ -122,51 +149,43 @@ def with_copies(instances: DataFrame) -> DataFrame:
     )
 
 
-def running_snapshots(instances: DataFrame, bookings: DataFrame, last_day: int = LAST_DAY) -> DataFrame:
+def running_snapshots(joined: DataFrame, last_day: int = LAST_DAY) -> DataFrame:
     """Snapshots repeated per visible booking day, with the running total of
     what each earlier snapshot showed (peers included, copies counted).
 
-    Guests with lead l have been shown by l - d + 1 snapshots when day_prior d
-    is reached, so the running total is a difference of two step functions.
+    ``joined`` are sittings with ``copies`` and their ``running`` curve. Guests
+    with lead l have been shown by l - d + 1 snapshots when day_prior d is
+    reached, so the running total is a difference of two step functions.
     """
-    reach = F.least(_lead(), F.lit(last_day))
-    changes = (
-        bookings.filter(_lead() >= 0)
-        .groupBy(*INSTANCE, reach.alias("at"))
-        .agg(
-            F.sum("covers_created_on_day").alias("visible"),
-            F.sum(F.col("covers_created_on_day") * (reach + 1)).alias("reached"),
-            F.count(F.lit(1)).alias("booking_days"),
-        )
-    )
     measures = ["visible", "reached", "booking_days"]
-    expanded = _expand(with_copies(instances), _steps(changes, measures), measures, last_day)
     total = F.col("copies") * (F.col("reached") - F.col("day_prior") * F.col("visible"))
     repeats = F.sequence(F.lit(1), F.greatest(F.col("booking_days").cast("int"), F.lit(1)))
-    return with_snapshot_day(
-        expanded.withColumn("covers_as_of_date", total)
+    return (
+        expand_steps(joined, measures, last_day)
+        .withColumn("covers_as_of_date", total)
         .withColumn("repeat", F.explode(repeats))
         .drop("copies", "repeat", *measures)
     )
 
 
-def visible_bookings(instances: DataFrame, bookings: DataFrame, horizons: Column) -> DataFrame:
-    """One row per sitting, snapshot and booking day visible in it (or one row
-    without booking).
-
-    The booking days of a sitting are gathered into one array (one entry per
-    calendar day, already aggregated) and filtered inside the row.
-    """
-    gathered = (
-        bookings.filter(_lead() >= 0)
-        .groupBy(*INSTANCE)
-        .agg(
-            F.collect_list(
-                F.struct("creation_day", "covers_created_on_day", "reservations_created_on_day")
-            ).alias("booked")
-        )
+def gathered_bookings(bookings: DataFrame) -> DataFrame:
+    """One row per sitting: its visible booking days as an array (one entry per
+    calendar day, already aggregated), its final guests, and what the booking
+    velocity needs."""
+    lead, covers = _lead(), F.col("covers_created_on_day")
+    entry = F.struct("creation_day", "covers_created_on_day", "reservations_created_on_day")
+    return bookings.groupBy(*INSTANCE).agg(
+        F.collect_list(F.when(lead >= 0, entry)).alias("booked"),
+        F.sum(covers).alias("final_actual_covers"),
+        F.count("creation_day").alias("booking_days"),
+        *[F.sum(F.when(lead <= n, covers).otherwise(0)).alias(f"near_{n}") for n in VELOCITY_DAYS],
     )
-    scaffold = snapshot_scaffold(instances.join(gathered, INSTANCE, "left"), horizons)
+
+
+def visible_bookings(gathered: DataFrame, horizons: Column) -> DataFrame:
+    """One row per sitting, snapshot and booking day visible in it (or one row
+    without booking); ``gathered`` are sittings with their ``booked`` array."""
+    scaffold = snapshot_scaffold(gathered, horizons)
     seen = F.filter("booked", lambda b: b["creation_day"] <= F.col("snapshot_timestamp"))
     return scaffold.withColumn("b", F.explode_outer(seen)).select(
         *[c for c in scaffold.columns if c != "booked"], "b.*"
@@ -191,17 +210,22 @@ def running_sum(
     return df.withColumns({n: F.sum(v).over(window) for n, v in columns.items()})
 
 
-def running_features(visible: DataFrame, tie_break: Iterable[str] = ("int_id", "shift_category")) -> DataFrame:
+def running_features(
+    visible: DataFrame,
+    keys: Iterable[str] = INSTANCE,
+    tie_break: Iterable[str] = ("int_id", "shift_category"),
+) -> DataFrame:
     """Row-by-row running totals over the visible bookings of a sitting.
 
     Rows run from the oldest snapshot; inside one snapshot by booking day with
-    "none" first, then by capacity row.
+    "none" first, then by capacity row. ``keys`` may name the sitting by more
+    columns than needed, to match how the rows are already placed.
     """
     covers = F.coalesce("covers_created_on_day", F.lit(0))
     recent = F.datediff("snapshot_timestamp", "creation_day") <= 7
     return running_sum(
         visible,
-        INSTANCE,
+        keys,
         [F.col("snapshot_timestamp"), F.asc_nulls_first("creation_day"), *tie_break],
         {
             "covers_as_of_date": covers,

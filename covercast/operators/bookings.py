@@ -58,11 +58,22 @@ def _instance(service_day: Column) -> list[Column]:
     ]
 
 
-def actual_covers(reservations: DataFrame) -> DataFrame:
+def _of_days(df: DataFrame, start: dt.date | None, before: dt.date | None) -> DataFrame:
+    """Rows with a service time from ``start`` on and before ``before``."""
+    kept = df.filter(F.col("marked_time").isNotNull())
+    if start is not None:
+        kept = kept.filter(F.col("marked_time") >= moment(start))
+    if before is not None:
+        kept = kept.filter(F.col("marked_time") < moment(before))
+    return kept
+
+
+def actual_covers(
+    reservations: DataFrame, start: dt.date | None = None, before: dt.date | None = None
+) -> DataFrame:
     """Guests, bookings and mean party size of every sitting."""
     return (
-        active_reservations(reservations)
-        .filter(F.col("marked_time").isNotNull())
+        _of_days(active_reservations(reservations), start, before)
         .groupBy(*_instance(_service_day()))
         .agg(
             F.sum("max_guests").alias("final_actual_covers"),
@@ -77,12 +88,15 @@ def bucket_name(days: int) -> str:
 
 
 def lead_time_buckets(
-    reservations: DataFrame, days: Iterable[int] = (30, 14, 7, 3, 1)
+    reservations: DataFrame,
+    days: Iterable[int] = (30, 14, 7, 3, 1),
+    start: dt.date | None = None,
+    before: dt.date | None = None,
 ) -> DataFrame:
     """Final guests of every sitting, and those booked at least n days ahead."""
     return (
-        active_reservations(reservations)
-        .filter(F.col("marked_time").isNotNull() & F.col("created").isNotNull())
+        _of_days(active_reservations(reservations), start, before)
+        .filter(F.col("created").isNotNull())
         .groupBy(*_instance(_service_day()))
         .agg(
             F.sum("max_guests").alias("final_actual_covers"),
@@ -95,19 +109,19 @@ def lead_time_buckets(
 
 
 def bookings_by_creation_day(
-    reservations: DataFrame, start: dt.date | None = None, before: dt.date | None = None
+    reservations: DataFrame,
+    start: dt.date | None = None,
+    before: dt.date | None = None,
+    undated: bool = False,
 ) -> DataFrame:
     """Guests and bookings of every sitting by the day they were booked.
 
     ``start`` (inclusive) and ``before`` (exclusive) bound the service day.
+    ``undated`` keeps reservations without creation time, under a null day.
     """
-    kept = active_reservations(reservations).filter(
-        F.col("marked_time").isNotNull() & F.col("created").isNotNull()
-    )
-    if start is not None:
-        kept = kept.filter(F.col("marked_time") >= moment(start))
-    if before is not None:
-        kept = kept.filter(F.col("marked_time") < moment(before))
+    kept = _of_days(active_reservations(reservations), start, before)
+    if not undated:
+        kept = kept.filter(F.col("created").isNotNull())
     return kept.groupBy(*_instance(_service_day()), _creation_day().alias("creation_day")).agg(
         F.sum("max_guests").alias("covers_created_on_day"),
         F.count(F.lit(1)).alias("reservations_created_on_day"),

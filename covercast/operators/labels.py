@@ -37,19 +37,29 @@ def label_by_ratio(capacity: DataFrame, actual: DataFrame, threshold: float = 0.
     return capacity.join(actual, INSTANCE, "left").withColumn("is_hot", hot_by_ratio(threshold))
 
 
+def merged_sittings(capacity: DataFrame) -> DataFrame:
+    """Merge capacity rows that differ only in their definition, counting them."""
+    return capacity.groupBy(*INSTANCE, "util_capacity").agg(F.count(F.lit(1)).alias("copies"))
+
+
+def count_copies(outcomes: DataFrame) -> DataFrame:
+    """Count the guests once per merged row, and add the weekday."""
+    return outcomes.withColumns(
+        {
+            "final_actual_covers": F.col("final_actual_covers") * F.col("copies"),
+            "day_of_week": F.dayofweek("shift_date"),
+        }
+    ).drop("copies")
+
+
 def final_outcomes(capacity: DataFrame, actual: DataFrame) -> DataFrame:
     """Outcome per sitting and capacity; null when nothing was booked.
 
     Capacity rows that agree in everything but their definition are merged,
     and each counts the guests once.
     """
-    merged = capacity.groupBy(*INSTANCE, "util_capacity").agg(F.count(F.lit(1)).alias("copies"))
-    return (
-        merged.join(actual.select(*INSTANCE, "final_actual_covers"), INSTANCE, "left")
-        .withColumn("final_actual_covers", F.col("final_actual_covers") * F.col("copies"))
-        .withColumn("day_of_week", F.dayofweek("shift_date"))
-        .drop("copies")
-    )
+    covers = actual.select(*INSTANCE, "final_actual_covers")
+    return count_copies(merged_sittings(capacity).join(covers, INSTANCE, "left"))
 
 
 def weekday_threshold(outcomes: DataFrame, q: float = 0.8, accuracy: int = 10000) -> DataFrame:
@@ -67,10 +77,15 @@ def weekday_threshold(outcomes: DataFrame, q: float = 0.8, accuracy: int = 10000
     )
 
 
-def label_by_quantile(outcomes: DataFrame, q: float = 0.8) -> DataFrame:
-    """Flag sittings at or above their weekday's quantile of utilisation."""
+def label_by_threshold(outcomes: DataFrame, thresholds: DataFrame) -> DataFrame:
+    """Flag sittings at or above the threshold of their venue and weekday."""
     ratio = safe_ratio(F.col("final_actual_covers"), F.col("util_capacity"))
     hot = (F.col("util_capacity") > 0) & (ratio >= F.col("hot_threshold"))
-    return outcomes.join(
-        weekday_threshold(outcomes, q), ["venue_key_id", "day_of_week"], "left"
-    ).withColumn("is_hot", F.when(hot, 1).otherwise(0))
+    return outcomes.join(thresholds, ["venue_key_id", "day_of_week"], "left").withColumn(
+        "is_hot", F.when(hot, 1).otherwise(0)
+    )
+
+
+def label_by_quantile(outcomes: DataFrame, q: float = 0.8) -> DataFrame:
+    """Flag sittings at or above their weekday's quantile of utilisation."""
+    return label_by_threshold(outcomes, weekday_threshold(outcomes, q))

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from covercast.functions import dates
-from covercast.functions.basic import day
+from covercast.functions.basic import day, safe_ratio
 from covercast.keys import INSTANCE
 from covercast.operators import asof, bookings, calendar, capacity, labels, lookups, slots
 
@@ -34,20 +34,20 @@ def labelled_sittings(
     sources: dict[str, DataFrame], as_of: dt.date, years: int = 12, threshold: float = 0.85
 ) -> DataFrame:
     """Past sittings with their outcome and ratio label."""
-    sittings = past_capacity(sources, as_of, years_before(as_of, years))
-    return labels.label_by_ratio(
-        sittings, bookings.actual_covers(sources["reservation"]), threshold
-    )
+    start = years_before(as_of, years)
+    actual = bookings.actual_covers(sources["reservation"], start, as_of)
+    return labels.label_by_ratio(past_capacity(sources, as_of, start), actual, threshold)
 
 
 def training_shift_final(
     sources: dict[str, DataFrame], as_of: dt.date, years: int = 12, threshold: float = 0.6
 ) -> DataFrame:
     """One row per past sitting: final guests, guests booked ahead, label."""
-    sittings = past_capacity(
-        sources, as_of, years_before(as_of, years), capacity.TIME_COLUMNS
-    ).filter(F.col("util_capacity").isNotNull())
-    buckets = bookings.lead_time_buckets(sources["reservation"])
+    start = years_before(as_of, years)
+    sittings = past_capacity(sources, as_of, start, capacity.TIME_COLUMNS).filter(
+        F.col("util_capacity").isNotNull()
+    )
+    buckets = bookings.lead_time_buckets(sources["reservation"], start=start, before=as_of)
     counts = [c for c in buckets.columns if c not in INSTANCE]
     labelled = labels.label_by_ratio(sittings, buckets, threshold)
     return lookups.venue_lookup(labelled, sources["venue"]).select(
@@ -69,13 +69,19 @@ def training_shift_running(
 
     The running total adds up what every earlier snapshot showed and repeats a
     snapshot once per visible booking day; ``asof.asof_covers`` gives the plain
-    guests-so-far instead.
+    guests-so-far instead. Label and snapshots come from one scan.
     """
-    sittings = capacity.with_capacity(labelled_sittings(sources, as_of, years, threshold)).select(
-        *INSTANCE, "util_capacity", "shift_category", "is_hot"
+    start = years_before(as_of, years)
+    sittings = capacity.with_capacity(past_capacity(sources, as_of, start)).select(
+        *INSTANCE, "util_capacity", "shift_category"
     )
-    booked = bookings.bookings_by_creation_day(sources["reservation"])
-    return asof.running_snapshots(sittings, booked).select(
+    booked = bookings.bookings_by_creation_day(
+        sources["reservation"], start=start, before=as_of, undated=True
+    )
+    joined = asof.attach_curve(
+        asof.with_copies(sittings), asof.booking_curve(booked, running=True)
+    ).withColumn("is_hot", labels.hot_by_ratio(threshold))
+    return asof.running_snapshots(joined).select(
         "shift_date",
         "venue_key_id",
         "persistent_id",
@@ -93,18 +99,14 @@ def _parts(day_col: str) -> list:
     return [column.alias(name) for name, column in dates.date_parts(F.col(day_col)).items()]
 
 
-def quantile_outcomes(
-    sources: dict[str, DataFrame], as_of: dt.date, years: int = 12
-) -> tuple[DataFrame, DataFrame]:
-    """Outcomes of past sittings, and the bookings behind them."""
-    booked = bookings.bookings_by_creation_day(sources["reservation"], before=as_of)
-    actual = booked.groupBy(*INSTANCE).agg(
-        F.sum("covers_created_on_day").alias("final_actual_covers")
-    )
-    sittings = past_capacity(
-        sources, as_of, years_before(as_of, years), capacity.TIME_COLUMNS
-    )
-    return labels.final_outcomes(sittings, actual), booked
+def quantile_outcomes(sources: dict[str, DataFrame], as_of: dt.date, years: int = 12) -> DataFrame:
+    """Outcomes of past sittings by bookings with a known creation time."""
+    start = years_before(as_of, years)
+    actual = bookings.bookings_by_creation_day(
+        sources["reservation"], start=start, before=as_of
+    ).groupBy(*INSTANCE).agg(F.sum("covers_created_on_day").alias("final_actual_covers"))
+    sittings = past_capacity(sources, as_of, start, capacity.TIME_COLUMNS)
+    return labels.final_outcomes(sittings, actual)
 
 
 def training_shift_asof(
@@ -112,13 +114,19 @@ def training_shift_asof(
 ) -> DataFrame:
     """365 snapshots per past sitting with guests so far, holiday flag, and the
     weekday-quantile label."""
-    outcomes, booked = quantile_outcomes(sources, as_of, years)
-    labelled = capacity.with_capacity(labels.label_by_quantile(outcomes, q))
+    start = years_before(as_of, years)
+    sittings = labels.merged_sittings(
+        capacity.with_capacity(past_capacity(sources, as_of, start, capacity.TIME_COLUMNS))
+    )
+    booked = bookings.bookings_by_creation_day(sources["reservation"], start=start, before=as_of)
+    joined = labels.count_copies(asof.attach_curve(sittings, asof.booking_curve(booked, last_day)))
+    thresholds = labels.weekday_threshold(asof.one_per_sitting(joined), q)
+    labelled = labels.label_by_threshold(joined, thresholds)
     named = lookups.shift_name_lookup(
         lookups.venue_lookup(labelled, sources["venue"]), sources["shift_default"]
     )
     flagged = calendar.holiday_flag(named, "shift_date")
-    return asof.asof_covers(flagged, booked, last_day).select(
+    return asof.expand_steps(flagged, ["visible"], last_day).select(
         F.col("shift_date").alias("reservation_date"),
         "venue_key_id",
         "venue_name",
@@ -127,7 +135,7 @@ def training_shift_asof(
         *_parts("shift_date"),
         "util_capacity",
         "day_prior",
-        F.col("covers_as_of_date").alias("cumulative_covers_as_of_snapshot"),
+        F.col("visible").alias("cumulative_covers_as_of_snapshot"),
         F.coalesce("final_actual_covers", F.lit(0)).alias("final_actual_covers"),
         "is_holiday",
         "is_hot",
@@ -192,21 +200,49 @@ def training_shift_rich(
 
     History features use every booking of the window, later ones included,
     unless ``history_end`` closes it.
+
+    One scan and one aggregation of the reservations feed label, history and
+    snapshots. The rows are placed by venue, shift, weekday and month for the
+    history means (a group holds the few such dates of the window) and stay
+    there: the running totals name the sitting by those columns too, so the
+    expanded rows are not shuffled.
     """
-    sittings = capacity.with_capacity(labelled_sittings(sources, as_of, years, threshold)).select(
-        *INSTANCE, "int_id", "util_capacity", "shift_category", "is_hot"
+    start = years_before(as_of, years)
+    sittings = (
+        capacity.with_capacity(past_capacity(sources, as_of, start))
+        .groupBy(*INSTANCE)
+        .agg(F.collect_list(F.struct("int_id", "shift_category", "util_capacity")).alias("definitions"))
     )
-    booked = bookings.bookings_by_creation_day(
-        sources["reservation"], start=years_before(as_of, years)
+    booked = bookings.bookings_by_creation_day(sources["reservation"], start=start, undated=True)
+    placed = sittings.join(asof.gathered_bookings(booked), INSTANCE, "full").withColumns(
+        {"day_of_week": F.dayofweek("shift_date"), "month": F.month("shift_date")}
+    )
+    alike = Window.partitionBy("venue_key_id", "persistent_id", "day_of_week", "month")
+    counts = F.lit(True) if history_end is None else F.col("shift_date") < day(history_end)
+    means = {
+        f"historical_avg_covers_{n}d": F.coalesce(
+            safe_ratio(
+                F.sum(F.when(counts, F.col(f"near_{n}"))).over(alike),
+                F.sum(F.when(counts, F.col("booking_days"))).over(alike),
+            ),
+            F.lit(0.0),
+        )
+        for n in asof.VELOCITY_DAYS
+    }
+    labelled = (
+        placed.withColumns(means)
+        .select(
+            *INSTANCE, "day_of_week", "month", *means, "booked", "final_actual_covers",
+            F.inline("definitions"),
+        )
+        .withColumn("is_hot", labels.hot_by_ratio(threshold))
+        .drop("final_actual_covers")
     )
-    past = booked if history_end is None else booked.filter(F.col("shift_date") < day(history_end))
-    history = bookings.booking_velocity(past)
-    visible = asof.visible_bookings(sittings, booked, asof.horizon_days())
-    featured = asof.utilization_asof(asof.party_size_asof(asof.running_features(visible)))
-    flagged = calendar.calendar_flags(
-        bookings.attach_history(featured, history), "shift_date", "day_prior"
+    visible = asof.visible_bookings(labelled, asof.horizon_days())
+    featured = asof.utilization_asof(
+        asof.party_size_asof(asof.running_features(visible, [*INSTANCE, "day_of_week", "month"]))
     )
-    return flagged.select(
+    return featured.select(
         "shift_date",
         "venue_key_id",
         "persistent_id",
@@ -220,11 +256,8 @@ def training_shift_rich(
         "avg_party_size_as_of_date",
         "utilization_as_of_date",
         "covers_last_7_days",
-        *[
-            F.coalesce(f"avg_covers_{n}_days_out", F.lit(0.0)).alias(f"historical_avg_covers_{n}d")
-            for n in (7, 14, 30, 60)
-        ],
-        *dates.season_flags(F.col("shift_date")),
-        *dates.horizon_flags(F.col("day_prior")),
+        *means,
+        *[c.alias(n) for n, c in dates.season_flags(F.col("shift_date")).items()],
+        *[c.alias(n) for n, c in dates.horizon_flags(F.col("day_prior")).items()],
         "is_hot",
     )
