@@ -55,20 +55,15 @@ def active_reservations(src):
 
 @_query
 def date_spine(src):
-    spine = calendar.observed_spine(src["reservation"], "date")
     daily = src["reservation"].groupBy("date").agg(F.count(F.lit(1)).alias("reservations"))
-    return spine.join(daily, "date", "left").na.fill(0, ["reservations"])
+    return calendar.fill_days(daily, "reservations")
 
 
 @_query
 def holidays(src):
-    found = calendar.holidays_of(calendar.observed_spine(src["reservation"], "date"))
-    guests = (
-        bookings.active_reservations(src["reservation"])
-        .groupBy(F.col("date").alias("check_date"))
-        .agg(F.sum("max_guests").alias("guests"))
-    )
-    return found.join(guests, "check_date", "left").na.fill(0, ["guests"])
+    live = F.when(~F.col("status").isin(*bookings.DEAD_STATUS), F.col("max_guests"))
+    daily = src["reservation"].groupBy("date").agg(F.sum(live).alias("guests"))
+    return calendar.holidays_of(calendar.fill_days(daily, "guests")).drop("day_of_week")
 
 
 @_query

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from covercast.functions import dates
@@ -20,13 +20,24 @@ def date_spine(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
     )
 
 
-def observed_spine(df: DataFrame, day_col: str) -> DataFrame:
-    """Every day between the first and the last date seen in ``day_col``."""
+def fill_days(daily: DataFrame, measure: str) -> DataFrame:
+    """Every day between the first and the last ``date`` of a per-day table,
+    with ``measure`` 0 on the days it lacks.
+
+    Each row lists the days up to the next one. The table has one row per
+    calendar day, so ordering it as a whole is cheap.
+    """
+    following = F.lead("date").over(Window.partitionBy().orderBy("date"))
+    until = F.coalesce(F.date_sub(following, 1), F.col("date"))
     return (
-        df.agg(F.min(day_col).alias("lo"), F.max(day_col).alias("hi"))
-        .filter(F.col("lo").isNotNull())
-        .select(F.explode(F.sequence("lo", "hi")).alias("date"))
-        .withColumn("day_of_week", dates.iso_weekday(F.col("date")))
+        daily.filter(F.col("date").isNotNull())
+        .withColumn("until", until)
+        .withColumn("day", F.explode(F.sequence("date", "until")))
+        .select(
+            F.col("day").alias("date"),
+            dates.iso_weekday(F.col("day")).alias("day_of_week"),
+            F.when(F.col("day") == F.col("date"), F.coalesce(measure, F.lit(0))).otherwise(0).alias(measure),
+        )
     )
 
 
@@ -34,15 +45,14 @@ def days_prior(spark: SparkSession, last: int) -> DataFrame:
     return spark.range(last + 1).select(F.col("id").cast("int").alias("day_prior"))
 
 
-def holidays_of(spine: DataFrame, day_col: str = "date") -> DataFrame:
+def holidays_of(spine: DataFrame) -> DataFrame:
     """The holidays among the days of a spine (one pass, all rules at once)."""
-    return spine.select(
-        F.col(day_col).alias("check_date"), dates.holiday_name(F.col(day_col)).alias("holiday_name")
-    ).filter(F.col("holiday_name").isNotNull())
+    named = spine.withColumn("holiday_name", dates.holiday_name(F.col("date")))
+    return named.filter(F.col("holiday_name").isNotNull()).withColumnRenamed("date", "check_date")
 
 
 def holidays(spark: SparkSession, start: dt.date, end: dt.date) -> DataFrame:
-    return holidays_of(date_spine(spark, start, end))
+    return holidays_of(date_spine(spark, start, end)).drop("day_of_week")
 
 
 def holiday_flag(df: DataFrame, day_col: str) -> DataFrame:

@@ -161,11 +161,18 @@ _CELL_BITS, _BLOCK_BITS = 24, 12
 
 
 def _score_levels(scored: DataFrame) -> DataFrame:
-    """Positives and negatives per distinct score."""
+    """Positives and negatives per distinct score, with its place in the range.
+
+    The null tests match those Spark derives where the levels are joined, so
+    that all uses share one scan and shuffle.
+    """
     label = F.col(LABEL).cast("bigint")
-    return scored.groupBy(SCORE).agg(
-        F.sum(label).alias("pos"), F.sum(1 - label).alias("neg")
+    inside = F.least(F.greatest(F.col(SCORE), F.lit(0.0)), F.lit(1.0))
+    levels = scored.groupBy(SCORE).agg(F.sum(label).alias("pos"), F.sum(1 - label).alias("neg"))
+    placed = levels.withColumn("cell", F.floor(inside * (1 << _CELL_BITS))).withColumn(
+        "block", F.shiftright("cell", _BLOCK_BITS)
     )
+    return placed.filter(F.col("cell").isNotNull() & F.col("block").isNotNull())
 
 
 def _cumulative(scored: DataFrame) -> DataFrame:
@@ -175,12 +182,9 @@ def _cumulative(scored: DataFrame) -> DataFrame:
     score range (at most 4097 rows), cells of a block (at most 4096 rows), and
     the distinct scores inside one cell of width 2^-24.
     """
-    levels = _score_levels(scored).withColumn(
-        "cell",
-        F.floor(F.least(F.greatest(F.col(SCORE), F.lit(0.0)), F.lit(1.0)) * (1 << _CELL_BITS)),
-    )
+    levels = _score_levels(scored)
     sums = [F.sum("pos").alias("pos"), F.sum("neg").alias("neg")]
-    cells = levels.groupBy("cell").agg(*sums).withColumn("block", F.shiftright("cell", _BLOCK_BITS))
+    cells = levels.groupBy("block", "cell").agg(*sums)
     above = (Window.unboundedPreceding, -1)
     everything = Window.partitionBy()
     by_block = everything.orderBy(F.desc("block")).rowsBetween(*above)
@@ -207,7 +211,7 @@ def _cumulative(scored: DataFrame) -> DataFrame:
         "all_pos",
         "all_neg",
     )
-    return levels.join(bases, "cell").select(
+    return levels.drop("block").join(bases, "cell").select(
         SCORE,
         "pos",
         "neg",
@@ -219,11 +223,18 @@ def _cumulative(scored: DataFrame) -> DataFrame:
 
 
 def roc_auc(scored: DataFrame) -> DataFrame:
-    """Area under the ROC curve; ties count half. Null with a single class."""
-    wins = F.col("neg") * (2.0 * F.col("tp") - F.col("pos"))
+    """Area under the ROC curve; ties count half. Null with a single class.
+
+    Pairs won are counted from the negatives and from the positives and
+    averaged: both sums are equal, and reading both keeps every column alive so
+    that all levels of the prefix sums share one scan.
+    """
+    by_negative = F.col("neg") * (2.0 * F.col("tp") - F.col("pos"))
+    by_positive = F.col("pos") * (2.0 * (F.col("all_neg") - F.col("fp")) + F.col("neg"))
     return _cumulative(scored).agg(
         F.try_divide(
-            F.sum(wins), 2.0 * F.max("all_pos") * F.max("all_neg")
+            (F.sum(by_negative) + F.sum(by_positive)) / 2,
+            2.0 * F.max("all_pos") * F.max("all_neg"),
         ).alias("auc_score")
     )
 
@@ -262,7 +273,9 @@ def score_histogram(scored: DataFrame, bins: int = 30, by: str | None = None) ->
     """Equal-width counts between the lowest and highest score, per class of
     ``by`` when given. The last bin is closed; empty bins are listed."""
     group = F.col(by) if by else F.lit(0)
-    rows = scored.filter(F.col(SCORE).isNotNull()).select(group.alias("g"), F.col(SCORE).alias("x"))
+    rows = scored.select(group.alias("g"), F.col(SCORE).alias("x")).filter(
+        F.col("g").isNotNull() & F.col("x").isNotNull()
+    )
     flat = F.col("lo") == F.col("hi")
     ranges = rows.groupBy("g").agg(F.min("x").alias("lo"), F.max("x").alias("hi")).select(
         "g",

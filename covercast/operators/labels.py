@@ -43,13 +43,18 @@ def merged_sittings(capacity: DataFrame) -> DataFrame:
 
 
 def count_copies(outcomes: DataFrame) -> DataFrame:
-    """Count the guests once per merged row, and add the weekday."""
-    return outcomes.withColumns(
+    """Count the guests once per merged row, and add the weekday.
+
+    The null tests are the ones Spark would derive for one use of the result in
+    a self join; stating them keeps both uses alike, so they share a shuffle.
+    """
+    counted = outcomes.withColumns(
         {
             "final_actual_covers": F.col("final_actual_covers") * F.col("copies"),
             "day_of_week": F.dayofweek("shift_date"),
         }
     ).drop("copies")
+    return counted.filter(F.col("venue_key_id").isNotNull() & F.col("day_of_week").isNotNull())
 
 
 def final_outcomes(capacity: DataFrame, actual: DataFrame) -> DataFrame:

@@ -119,14 +119,19 @@ def training_shift_asof(
         capacity.with_capacity(past_capacity(sources, as_of, start, capacity.TIME_COLUMNS))
     )
     booked = bookings.bookings_by_creation_day(sources["reservation"], start=start, before=as_of)
-    joined = labels.count_copies(asof.attach_curve(sittings, asof.booking_curve(booked, last_day)))
-    thresholds = labels.weekday_threshold(asof.one_per_sitting(joined), q)
-    labelled = labels.label_by_threshold(joined, thresholds)
+    curve = asof.booking_curve(booked, last_day)
+
+    def outcomes(rows: DataFrame) -> DataFrame:
+        return labels.count_copies(asof.attach_curve(rows, curve))
+
+    thresholds = labels.weekday_threshold(asof.one_per_sitting(outcomes(sittings)), q)
+    # Names join the sittings while these are few: before steps and snapshots.
     named = lookups.shift_name_lookup(
-        lookups.venue_lookup(labelled, sources["venue"]), sources["shift_default"]
+        lookups.venue_lookup(calendar.holiday_flag(sittings, "shift_date"), sources["venue"]),
+        sources["shift_default"],
     )
-    flagged = calendar.holiday_flag(named, "shift_date")
-    return asof.expand_steps(flagged, ["visible"], last_day).select(
+    labelled = labels.label_by_threshold(outcomes(named), thresholds)
+    return asof.expand_steps(labelled, ["visible"], last_day).select(
         F.col("shift_date").alias("reservation_date"),
         "venue_key_id",
         "venue_name",
