@@ -54,4 +54,4 @@ def moment(value: dt.datetime | dt.date | str) -> Column:
 
 def at_minute(date_col: Column, minutes: Column) -> Column:
     """Wall-clock time ``minutes`` after midnight of ``date_col``."""
-    return date_col.cast("timestamp_ntz") + F.make_dt_interval(mins=minutes.cast("int"))
+    return date_col.cast("timestamp_ntz") + F.expr("interval '1' minute") * minutes

@@ -25,6 +25,12 @@ SLOT_COLUMNS = [
     "shift_start_time_min", "shift_end_time_min",
 ]
 
+# What the seating expressions read.
+SEATING_COLUMNS = [
+    "duration_dict_ranges_str", "table_size", "shift_start_time_min", "shift_end_time_min",
+    "custom_pacing_str", "covers_per_seating_interval", "interval_minutes",
+]
+
 
 def denorm_all(default: DataFrame, override: DataFrame) -> DataFrame:
     """Table rows of templates and overrides together."""
@@ -61,14 +67,17 @@ def pacing_capacities(denorm: DataFrame) -> DataFrame:
 def shift_setting_capacity(denorm: DataFrame, extra: Iterable[str] = ()) -> DataFrame:
     """Capacity per shift definition, before any dates are attached.
 
-    No input of the seating expressions depends on the date, so they run once
-    per table instead of once per table and day.
+    The seating expressions depend on neither the date nor the single table,
+    so equal tables of a shift are counted first and each kind is evaluated
+    once, however many tables, days or copies there are.
     """
     keys = SHIFT_COLUMNS + [c for c in extra if c not in SHIFT_COLUMNS]
+    inputs = [c for c in SEATING_COLUMNS if c not in keys]
+    kinds = denorm.groupBy(*keys, *inputs).agg(F.count(F.lit(1)).alias("tables"))
     return (
-        pacing_capacities(table_capacities(denorm))
+        pacing_capacities(table_capacities(kinds))
         .groupBy(*keys, "max_shift_capacity")
-        .agg(F.sum("table_capacity").alias("tables_capacity"))
+        .agg(F.sum(F.col("table_capacity") * F.col("tables")).alias("tables_capacity"))
     )
 
 

@@ -407,8 +407,8 @@ SELECT {'s.g AS ' + by + ', ' if by else ''}s.bin, round(s.lo + s.bin * s.width,
 
 def _stratified() -> str:
     return f"""{_SCORED}, h AS (
-  SELECT *, CAST('0x' || substr(md5('42|' || CAST(shift_date AS VARCHAR) || '|' || venue_key_id || '|' || persistent_id || '|' ||
-         day_prior || '|' || day_of_week || '|' || CAST(hot_probability AS VARCHAR)), 1, 15) AS BIGINT) AS h FROM scored),
+  SELECT *, md5('42|' || CAST(shift_date AS VARCHAR) || '|' || venue_key_id || '|' || persistent_id || '|' ||
+         day_prior || '|' || day_of_week || '|' || CAST(hot_probability AS VARCHAR)) AS h FROM scored),
  ranked AS (SELECT *, row_number() OVER (PARTITION BY is_hot ORDER BY h) AS rn, count(*) OVER (PARTITION BY is_hot) AS n FROM h)
 SELECT * EXCLUDE (h, rn, n), rn <= ceil(0.2::DOUBLE * n) AS is_validation FROM ranked"""
 

@@ -17,13 +17,24 @@ NOW = dt.datetime(2001, 1, 1, 12, 0)
 _SHIFT = "element_at(array('lunch', 'brunch', 'dinner'), cast({0} as int) + 1)"
 _START = "element_at(array(660, 600, 1080), cast({0} as int) + 1)"
 _END = "element_at(array(900, 870, 60), cast({0} as int) + 1)"
-_CLOCK = "timestamp_ntz'1900-01-01 00:00:00' + make_dt_interval(0, 0, {0})"
+_CLOCK = "timestamp_ntz'1900-01-01 00:00:00' + interval '1' minute * {0}"
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _finished(df: DataFrame, **columns: str) -> DataFrame:
+    """Select SQL expressions as finished columns.
+
+    The one-row generator keeps later filters and expressions from getting
+    copies of these (long) expressions inlined; they read plain columns, as
+    they would from a file.
+    """
+    fields = ", ".join(f"'{name}', {text}" for name, text in columns.items())
+    return df.selectExpr(f"inline(array(named_struct({fields})))")
+
+
 def _turns(base: str, with_nine: bool = True) -> str:
     """SQL text of a party-size -> minutes object growing from ``base``."""
     parts = [("2", 0), ("4", 30), ("6", 45), ("8", 60)] + ([("9", 75)] if with_nine else [])
@@ -80,25 +91,25 @@ def reservations(lineitem: DataFrame) -> DataFrame:
     )
     placed = coded.selectExpr(
         "*",
-        "(venue + shift div 2 + case when o % 3 = 0 then 3 else 0 end) % 7 as weekday",
-        "case when o % 50 = 7 then date_add(date'1999-07-05', cast(week % 4 * 7 as int)) "
-        "when o % 50 = 8 then date_add(date'1998-06-01', cast(week % 2 * 7 as int)) "
-        "else date_add(date'2000-07-03', cast(week % 34 * 7 as int)) end as monday",
+        "date_add(date'1998-06-01', cast(case o % 50 when 7 then 399 + week % 4 * 7 "
+        "when 8 then week % 2 * 7 else 763 + week % 34 * 7 end "
+        "+ (venue + shift div 2 + case when o % 3 = 0 then 3 else 0 end) % 7 as int)) as service",
         "case when p % 97 = 1 then 380 when p % 83 = 5 then -1 "
         "when p % 10 = 0 then (p * 7 + n * 3) % 30 + 30 * (o % 5) "
         "else (p * 7 + n * 3) % 30 end as lead",
-    ).selectExpr("*", "date_add(monday, cast(weekday as int)) as service")
-    return placed.selectExpr(
-        "venue as venue_key_id",
-        f"{_SHIFT.format('shift')} as shift_persistent_id",
-        "case when o % 97 <> 0 then cast(service as timestamp_ntz) + make_dt_interval(0, 0, "
-        f"cast({_START.format('shift')} + (o % 9) * (30 + 30 * (shift div 2)) as int)) end as marked_time",
-        "service as date",
-        "case when o % 89 <> 0 then cast(date_sub(service, cast(lead as int)) as timestamp_ntz) "
-        "+ make_dt_interval(0, 0, cast(o % 1440 as int)) end as created",
-        "case when p % 101 <> 0 then case flag when 'R' then 'CANCELED' when 'A' then 'COMPLETE' "
-        "else 'CONFIRMED' end end as status",
-        "1 + quantity % 8 as max_guests",
+    )
+    return _finished(
+        placed,
+        venue_key_id="venue",
+        shift_persistent_id=_SHIFT.format("shift"),
+        marked_time="case when o % 97 <> 0 then cast(service as timestamp_ntz) + interval '1' minute * "
+        f"({_START.format('shift')} + (o % 9) * (30 + 30 * (shift div 2))) end",
+        date="service",
+        created="case when o % 89 <> 0 then cast(date_sub(service, cast(lead as int)) as timestamp_ntz) "
+        "+ interval '1' minute * (o % 1440) end",
+        status="case when p % 101 <> 0 then case flag when 'R' then 'CANCELED' when 'A' then 'COMPLETE' "
+        "else 'CONFIRMED' end end",
+        max_guests="1 + quantity % 8",
     )
 
 
@@ -148,25 +159,26 @@ def template_tables(part: DataFrame) -> DataFrame:
     placed = part.selectExpr(
         "p_size as size", "p_partkey div 100 as venue", "(p_partkey % 100) % 15 as t"
     ).selectExpr("*", "t % 3 as shift", "t div 3 as version")
-    return placed.selectExpr(
-        "venue * 100 + t as int_id",
-        "venue as venue_key_id",
-        f"{_SHIFT.format('shift')} as persistent_id",
-        f"initcap({_SHIFT.format('shift')}) || ' v' || version as name",
-        "case when t = 12 and venue % 4 = 3 then null "
-        "else element_at(array(15, 30, 60), cast((venue + t) % 3 as int) + 1) end as interval_minutes",
-        "cast(null as timestamp_ntz) as deleted",
-        _CLOCK.format(_START.format("shift")) + " as start_time",
-        _CLOCK.format(_END.format("shift")) + " as end_time",
-        "cast(null as date) as effective_start_date",
-        "cast(null as date) as effective_end_date",
-        "case when size < 50 then element_at(array(2, 4, 6, 8, 10, 12), size % 6 + 1) end as table_size",
-        f"{pacing_sql('(venue * 7 + t) % 8')} as custom_pacing_str",
-        "case when (venue + t) % 11 <> 10 then cast(2 + (venue + t) % 5 as int) end as covers_per_seating_interval",
-        f"case when t = 13 and venue % 4 = 2 then null else {_START.format('shift')} end as shift_start_time_min",
-        f"{_END.format('shift')} as shift_end_time_min",
-        "cast(null as string) as duration_minutes_by_party_size_str",
-        f"{durations_sql('(venue * 5 + t * 3) % 16', '(45 + (venue + t) % 40)')} as duration_dict_ranges_str",
+    return _finished(
+        placed,
+        int_id="venue * 100 + t",
+        venue_key_id="venue",
+        persistent_id=_SHIFT.format("shift"),
+        name=f"initcap({_SHIFT.format('shift')}) || ' v' || version",
+        interval_minutes="case when t = 12 and venue % 4 = 3 then null "
+        "else element_at(array(15, 30, 60), cast((venue + t) % 3 as int) + 1) end",
+        deleted="cast(null as timestamp_ntz)",
+        start_time=_CLOCK.format(_START.format("shift")),
+        end_time=_CLOCK.format(_END.format("shift")),
+        effective_start_date="cast(null as date)",
+        effective_end_date="cast(null as date)",
+        table_size="case when size < 50 then element_at(array(2, 4, 6, 8, 10, 12), size % 6 + 1) end",
+        custom_pacing_str=pacing_sql("(venue * 7 + t) % 8"),
+        covers_per_seating_interval="case when (venue + t) % 11 <> 10 then cast(2 + (venue + t) % 5 as int) end",
+        shift_start_time_min=f"case when t = 13 and venue % 4 = 2 then null else {_START.format('shift')} end",
+        shift_end_time_min=_END.format("shift"),
+        duration_minutes_by_party_size_str="cast(null as string)",
+        duration_dict_ranges_str=durations_sql("(venue * 5 + t * 3) % 16", "(45 + (venue + t) % 40)"),
     )
 
 
@@ -185,24 +197,25 @@ def override_tables(supplier: DataFrame) -> DataFrame:
     placed = supplier.selectExpr(
         "s_suppkey div 5 as venue", "(s_suppkey % 5) % 3 as j", "explode(array(2, 4, 8, 12)) as size"
     )
-    return placed.selectExpr(
-        "1000000000 + venue * 10 + j as int_id",
-        "venue as venue_key_id",
-        f"{_SHIFT.format('j')} as persistent_id",
-        f"initcap({_SHIFT.format('j')}) || ' special' as name",
-        "element_at(array(15, 30, 60), cast(j as int) + 1) as interval_minutes",
-        "cast(null as timestamp_ntz) as deleted",
-        _CLOCK.format(_START.format("j")) + " as start_time",
-        _CLOCK.format(_END.format("j")) + " as end_time",
-        "cast(null as date) as effective_start_date",
-        "cast(null as date) as effective_end_date",
-        "size as table_size",
-        "'{}' as custom_pacing_str",
-        "cast(3 + j as int) as covers_per_seating_interval",
-        f"{_START.format('j')} as shift_start_time_min",
-        f"{_END.format('j')} as shift_end_time_min",
-        "cast(null as string) as duration_minutes_by_party_size_str",
-        f"{durations_sql('0', '(60 + j * 5)')} as duration_dict_ranges_str",
+    return _finished(
+        placed,
+        int_id="1000000000 + venue * 10 + j",
+        venue_key_id="venue",
+        persistent_id=_SHIFT.format("j"),
+        name=f"initcap({_SHIFT.format('j')}) || ' special'",
+        interval_minutes="element_at(array(15, 30, 60), cast(j as int) + 1)",
+        deleted="cast(null as timestamp_ntz)",
+        start_time=_CLOCK.format(_START.format("j")),
+        end_time=_CLOCK.format(_END.format("j")),
+        effective_start_date="cast(null as date)",
+        effective_end_date="cast(null as date)",
+        table_size="size",
+        custom_pacing_str="'{}'",
+        covers_per_seating_interval="cast(3 + j as int)",
+        shift_start_time_min=_START.format("j"),
+        shift_end_time_min=_END.format("j"),
+        duration_minutes_by_party_size_str="cast(null as string)",
+        duration_dict_ranges_str=durations_sql("0", "(60 + j * 5)"),
     )
 
 
