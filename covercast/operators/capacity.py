@@ -84,14 +84,12 @@ def shift_setting_capacity(denorm: DataFrame, extra: Iterable[str] = ()) -> Data
 def dated_capacity(calendar: DataFrame, settings: DataFrame) -> DataFrame:
     """Attach shift capacities to calendar days.
 
-    Equal calendar rows count their tables once per copy. The calendar is
-    placed by shift once; grouping and join then both reuse that placement
-    (a shift has at most one row per day and copy, so no shift is large).
+    Equal calendar rows count their tables once per copy. Counting combines
+    before the shuffle, so a shift entered over and over is no hot key; after
+    it a shift has one row per day and category.
     """
-    copies = (
-        calendar.repartition("venue_key_id", "int_id")
-        .groupBy("venue_key_id", "int_id", "shift_category", "date")
-        .agg(F.count(F.lit(1)).alias("copies"))
+    copies = calendar.groupBy("venue_key_id", "int_id", "shift_category", "date").agg(
+        F.count(F.lit(1)).alias("copies")
     )
     return (
         copies.join(settings, ["venue_key_id", "int_id"], "left")
