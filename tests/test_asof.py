@@ -185,6 +185,26 @@ def test_quantile_label_ignores_unbooked_and_includes_the_threshold(spark):
     assert labelled.count() == 11
 
 
+def test_threshold_is_the_exact_order_statistic(spark):
+    """Also for a venue with a third of several thousand sittings."""
+    rng = random.Random(5)
+    rows = [
+        (0 if i % 3 == 0 else rng.randint(1, 9), "s", DAY, 97.0, rng.randint(0, 100000), 1 + rng.randrange(2))
+        for i in range(9000)
+    ]
+    df = spark.createDataFrame(
+        rows,
+        "venue_key_id bigint, persistent_id string, shift_date date, util_capacity double, "
+        "final_actual_covers bigint, day_of_week int",
+    )
+    groups = {}
+    for r in rows:
+        groups.setdefault((r[0], r[5]), []).append(r[4] / 97.0)
+    for got in labels.weekday_threshold(df.repartition(16)).collect():
+        values = sorted(groups[(got.venue_key_id, got.day_of_week)])
+        assert got.hot_threshold == values[-(-len(values) * 4 // 5) - 1]
+
+
 def test_history_and_backtest_windows(spark):
     as_of = dt.date(2024, 3, 31)
     days = [(as_of - dt.timedelta(days=n),) for n in (0, 1, 90, 91, 800)]
