@@ -24,16 +24,25 @@ from covercast.sources.load import is_empty, load_sources, require_columns
 REQUIRED = ("shift_date", "util_capacity", "covers_as_of_date", "is_hot")
 
 
+def build_table(sources: dict[str, DataFrame], as_of: dt.date, out: str) -> DataFrame:
+    """Write the rich training table by day and return it as stored.
+
+    Splitting, boosting and back-testing pass over it many times; they read the
+    written files instead of computing it again, also after a lost executor.
+    """
+    sinks.write_table(
+        training.training_shift_rich(sources, as_of), f"{out}/training_table", partition_by=["shift_date"]
+    )
+    stored = next(iter(sources.values())).sparkSession.read.parquet(f"{out}/training_table")
+    if is_empty(require_columns(stored, REQUIRED)):
+        raise ValueError("the training table has no rows")
+    return stored
+
+
 def train_job(
-    sources: dict[str, DataFrame],
-    as_of: dt.date,
-    out: str,
-    params: model.BoostParams = model.BoostParams(),
+    table: DataFrame, out: str, params: model.BoostParams = model.BoostParams()
 ) -> PipelineModel:
-    """Build the rich training table, fit, and save model and metrics."""
-    table = require_columns(training.training_shift_rich(sources, as_of), REQUIRED)
-    if is_empty(table):
-        raise ValueError("the training table has no rows")
+    """Fit on a stored training table; save model, metrics and top features."""
     fitted, validation, train = model.train_and_evaluate(table, params=params)
     model.save_model(fitted, f"{out}/model")
     sinks.write_table(validation, f"{out}/validation_metrics", "csv")
@@ -43,11 +52,10 @@ def train_job(
 
 
 def backtest_job(
-    sources: dict[str, DataFrame], as_of: dt.date, out: str, fitted: PipelineModel, days: int = 90
+    table: DataFrame, as_of: dt.date, out: str, fitted: PipelineModel, days: int = 90
 ) -> None:
-    """Score the last ``days`` days and write every back-test table."""
-    table = training.training_shift_rich(sources, as_of)
-    # Scored once, read back by the nine tables.
+    """Score the last ``days`` days of a stored table and write every report."""
+    # Scored once, read back by the nine reports.
     judged = backtest.backtest(fitted, table, as_of, days)
     kept = [*evaluate.BACKTEST_COLUMNS, "day_of_week", "day_prior"]
     sinks.write_table(judged.select(*kept), f"{out}/backtest/scored")
@@ -85,8 +93,9 @@ def main(arguments: list[str] | None = None) -> None:
     spark = SparkSession.builder.appName("covercast").getOrCreate()
     sources = load_sources(spark, options.sources, options.venues)
     now = options.now or dt.datetime.combine(options.as_of, dt.time())
-    fitted = train_job(sources, options.as_of, options.out, model.BoostParams(trees=options.trees))
-    backtest_job(sources, options.as_of, options.out, fitted)
+    table = build_table(sources, options.as_of, options.out)
+    fitted = train_job(table, options.out, model.BoostParams(trees=options.trees))
+    backtest_job(table, options.as_of, options.out, fitted)
     predict_job(sources, options.as_of, now, options.out, fitted)
 
 

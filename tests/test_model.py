@@ -96,9 +96,10 @@ def test_slot_table_feeds_the_model(spark):
     src = benchmark.sources(spark, "/root/testdata/sf0.001")
     slot_rows = training.training_slot(src, benchmark.AS_OF, benchmark.NOW)
     marked, features = model.prepare_training(
-        slot_rows, model.SLOT_FEATURES, ("slot_capacity", "covers_as_of_date"),
+        slot_rows.persist(), model.SLOT_FEATURES, ("slot_capacity", "covers_as_of_date"),
         keys=("venue_key_id", "persistent_id", "shift_date", "int_id", "slot_index"),
     )
+    marked = marked.persist()
     fit = model.fit_model(marked, features, model.BoostParams(trees=3, step=0.3), validation_col="is_validation")
     judged = model.score(fit, marked)
     assert evaluate.classification_metrics(judged).first().accuracy > 0.8
