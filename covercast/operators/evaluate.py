@@ -138,15 +138,15 @@ def accuracy_by_horizon(scored: DataFrame, edges: Iterable[int] = (0, 7, 30, 90,
     )
 
 
-def prediction_summary(scored: DataFrame) -> DataFrame:
+def prediction_summary(scored: DataFrame, day_col: str = "shift_date") -> DataFrame:
     total, hot = F.count(F.lit(1)), F.sum(PREDICTED)
     return scored.agg(
         total.alias("total_shifts"),
         hot.alias("predicted_hot_shifts"),
         (100 * safe_ratio(hot, total)).alias("predicted_hot_percent"),
         F.avg(SCORE).alias("avg_hot_probability"),
-        F.min("shift_date").alias("first_date"),
-        F.max("shift_date").alias("last_date"),
+        F.min(day_col).alias("first_date"),
+        F.max(day_col).alias("last_date"),
     )
 
 
