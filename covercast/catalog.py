@@ -14,7 +14,7 @@ from covercast.keys import INSTANCE
 from covercast.operators import (
     asof, bookings, calendar, capacity, evaluate, labels, lookups, rows, slots,
 )
-from covercast.plans import prediction, training
+from covercast.plans import model, prediction, training
 from covercast.sources import benchmark
 from covercast.sources.benchmark import AS_OF, NOW
 
@@ -462,5 +462,32 @@ def stratified_split(spark, sf_dir):
 _QUERIES["stratified_split"] = stratified_split
 
 
+# --- model --------------------------------------------------------------------------
+
+
+def model_predictions(spark, sf_dir):
+    """Fit on the past slots and score the coming ones (no SQL counterpart)."""
+    src = benchmark.sources(spark, sf_dir)
+    model.ensure_checkpoint_dir(spark)
+    past = training.training_slot(src, AS_OF, NOW).checkpoint()
+    fitted, _, _ = model.train_and_evaluate(
+        past,
+        model.SLOT_FEATURES,
+        ("slot_capacity", "covers_as_of_date"),
+        model.BoostParams(trees=10, step=0.3),
+        weighted=True,
+    )
+    coming = prediction.prediction_slot(src, AS_OF, NOW)
+    return model.predict_future(fitted, coming).select(
+        *slots.SLOT, "slot_capacity", "covers_as_of_date", evaluate.SCORE, evaluate.PREDICTED
+    )
+
+
+_QUERIES["model_predictions"] = model_predictions
+
+# Queries that SQL cannot express.
+ITERATIVE = ("model_predictions",)
+
+
 def queries() -> dict[str, Query]:
     return dict(sorted(_QUERIES.items()))

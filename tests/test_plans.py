@@ -4,7 +4,7 @@ import re
 
 import pytest
 
-from __spark_entry__ import queries
+from __spark_entry__ import oracle_sql, queries
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -28,7 +28,7 @@ def final_plan(spark, name: str) -> str:
     return plan.toString().split("== Initial Plan ==")[0]
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(oracle_sql()))
 def test_no_pairwise_join(plan_of, name):
     assert not re.search("NestedLoop|Cartesian", plan_of(name))
 
