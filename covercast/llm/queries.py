@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covercast.llm import bpe, token_files
+from covercast.llm import bpe, digest, mixing, token_files
 from covercast.llm.storage import fresh_path
 
 
@@ -25,6 +25,63 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checksums(token_files.read_tokens(spark, path))
 
 
+def op4_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return digest.compare_with_edits(_table(spark, sf_dir, "documents"))
+
+
+def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(_table(spark, sf_dir, "documents")).drop("source", "copies")
+
+
+OP7_SQL = r"""
+WITH sized AS (
+    SELECT doc_id, source, md5('0:' || coalesce(doc_id::VARCHAR, 'null')) AS lot,
+        coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size
+    FROM documents
+), sources AS (
+    SELECT *, 3 * source_size AS cap,
+        (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1 AS weight
+    FROM (SELECT source, sum(size)::BIGINT AS source_size FROM sized GROUP BY source)
+), levels AS (
+    SELECT cap / weight AS full_at,
+        ((SELECT sum(source_size) FROM sources)
+            - coalesce(sum(cap) OVER (ORDER BY cap / weight, source ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)
+        )::BIGINT
+        / (sum(weight) OVER (ORDER BY cap / weight, source ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT
+            AS level
+    FROM sources
+), goal AS (
+    SELECT source, source_size, target, floor(target / source_size)::BIGINT AS copies,
+        target / source_size - floor(target / source_size) AS p,
+        target - floor(target / source_size)::BIGINT * source_size AS words_left
+    FROM (
+        SELECT source, source_size, least(
+            weight * (SELECT arg_min(level, full_at) FROM levels WHERE full_at >= level), cap::DOUBLE) AS target
+        FROM sources WHERE source_size > 0
+    )
+), drawn AS (
+    SELECT *, (('0x' || lot[1:13])::BIGINT + 0.5::DOUBLE) / 4503599627370496::DOUBLE AS u
+    FROM sized JOIN goal ON sized.source IS NOT DISTINCT FROM goal.source
+), ranked AS (
+    SELECT *, sum(size) OVER (PARTITION BY source ORDER BY q, lot) <= words_left AS fits
+    FROM (SELECT * EXCLUDE (source_1), CASE WHEN p > 0 THEN (u / (1 - u)) / (p / (1 - p)) END AS q FROM drawn)
+), gaps AS (
+    SELECT source, any_value(words_left) - coalesce(sum(size) FILTER (fits), 0)::BIGINT AS gap
+    FROM ranked WHERE p > 0 GROUP BY source
+), closing AS (
+    SELECT r.source, r.lot AS extra_lot FROM ranked r JOIN gaps g ON r.source IS NOT DISTINCT FROM g.source
+    WHERE p > 0 AND NOT fits AND abs(size - gap) < gap
+    QUALIFY row_number() OVER (PARTITION BY r.source ORDER BY abs(size - gap), q, lot) = 1
+)
+SELECT doc_id, size::BIGINT AS size, source_size, target,
+    (size * (copies + CASE WHEN p > 0 AND (fits OR coalesce(lot = extra_lot, false)) THEN 1 ELSE 0 END))::BIGINT AS taken
+FROM ranked LEFT JOIN closing ON ranked.source IS NOT DISTINCT FROM closing.source
+UNION ALL
+SELECT doc_id, 0::BIGINT, 0::BIGINT, 0::DOUBLE, 0::BIGINT FROM sized JOIN sources
+    ON sized.source IS NOT DISTINCT FROM sources.source WHERE source_size = 0
+"""
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode(_table(spark, sf_dir, "documents"), tokenizer_path())
     return bpe.decode(encoded, tokenizer_path()).select(
@@ -37,7 +94,9 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_token_files": op2_token_files,
+    "op4_digest": op4_digest,
+    "op7_mixing": op7_mixing,
     "op10_bpe": op10_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {"op7_mixing": OP7_SQL}

@@ -41,7 +41,7 @@ def library_encoder(path: str) -> PieceEncoder:
                 found.append(array("i", x.ids).tobytes())
         return found
 
-    return PieceEncoder(encode, [t.content for t in tokenizer.get_added_tokens_decoder().values()])
+    return PieceEncoder(encode, [t.content for t in tokenizer.get_added_tokens_decoder().values()], 400_000, 800_000)
 
 
 def _encode_partition(batches: Iterator[pa.RecordBatch], path: str, end_id: int | None) -> Iterator[pa.RecordBatch]:
