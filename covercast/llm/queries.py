@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covercast.llm import bpe, digest, mixing, token_files
+from covercast.llm import bpe, digest, html_text, mixing, quality, token_files
 from covercast.llm.storage import fresh_path
 
 
@@ -19,6 +19,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op1_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(_table(spark, sf_dir, "pages"))
+
+
 def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "tokens")
     token_files.write_tokens(_table(spark, sf_dir, "documents"), path, tokenizer_path(), end_id=2)
@@ -82,6 +86,18 @@ SELECT doc_id, 0::BIGINT, 0::BIGINT, 0::DOUBLE, 0::BIGINT FROM sized JOIN source
 """
 
 
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = quality.learn(docs, _table(spark, sf_dir, "labels"))
+    scored = quality.score(docs.select("doc_id", "text"), model)
+    return scored.select(
+        "doc_id",
+        quality.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode(_table(spark, sf_dir, "documents"), tokenizer_path())
     return bpe.decode(encoded, tokenizer_path()).select(
@@ -93,9 +109,11 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_html_text": op1_html_text,
     "op2_token_files": op2_token_files,
     "op4_digest": op4_digest,
     "op7_mixing": op7_mixing,
+    "op8_quality": op8_quality,
     "op10_bpe": op10_bpe,
 }
 
