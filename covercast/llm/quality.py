@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covercast.llm.storage import importable
+from covercast.llm.wordhash import word_hashes
 
 TRIPLET_TERMS, SHAPE_TERMS, REPEAT_TERMS = 2048, 1024, 8
 TERMS = TRIPLET_TERMS + SHAPE_TERMS + REPEAT_TERMS
@@ -40,7 +41,6 @@ def _classes() -> np.ndarray:
 CLASSES = _classes()
 LOWER = np.arange(256, dtype=np.uint32)
 LOWER[ord("A") : ord("Z") + 1] += 32
-SPACE = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -72,19 +72,9 @@ def term_counts(text: str) -> np.ndarray:
 
 def _repeats(data: np.ndarray) -> list[float]:
     """Words that equal the one 1, 2, 3 or 4 places before, all words, and words seen before anywhere."""
-    blank = SPACE[data]
-    inside = ~blank
-    begins = np.flatnonzero(inside & np.concatenate([[True], blank[:-1]])) if len(data) else np.array([], np.int64)
-    if not len(begins):
+    sums = word_hashes(data, fold=False)
+    if not len(sums):
         return [0.0] * REPEAT_TERMS
-    # A word's hash: its bytes times powers of an odd number by their place in the word.
-    ends = np.flatnonzero(inside & np.concatenate([blank[1:], [True]])) + 1
-    powers = np.uint64(0x9E3779B97F4A7C15) * (np.arange(64, dtype=np.uint64) * np.uint64(2) + np.uint64(1))
-    offset = np.zeros(len(data), np.int64)
-    offset[begins] = begins
-    offset = np.arange(len(data)) - np.maximum.accumulate(offset)
-    weighted = np.where(inside, (data.astype(np.uint64) + np.uint64(1)) * powers[offset & 63], np.uint64(0))
-    sums = np.add.reduceat(weighted, begins) + (ends - begins).astype(np.uint64)
     equal = [float((sums[k:] == sums[:-k]).sum()) for k in (1, 2, 3, 4)]
     distinct = len(np.unique(sums))
     n = len(sums)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covercast.llm import bpe, digest, html_text, mixing, quality, token_files
+from covercast.llm import bpe, digest, html_text, minhash, mixing, quality, token_files
 from covercast.llm.storage import fresh_path
 
 
@@ -29,6 +29,10 @@ def op2_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.checksums(token_files.read_tokens(spark, path))
 
 
+def op3_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.classes(_table(spark, sf_dir, "documents"))
+
+
 def op4_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.compare_with_edits(_table(spark, sf_dir, "documents"))
 
@@ -111,6 +115,7 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_token_files": op2_token_files,
+    "op3_minhash": op3_minhash,
     "op4_digest": op4_digest,
     "op7_mixing": op7_mixing,
     "op8_quality": op8_quality,
