@@ -63,7 +63,7 @@ class PieceEncoder:
         encode: Callable[[list[str]], list[bytes]],
         special: Iterable[str] = (),
         piece_limit: int = 200_000,
-        word_limit: int = 400_000,
+        word_limit: int = 300_000,
     ):
         import regex
 
@@ -104,7 +104,7 @@ class PieceEncoder:
         return [piece] if self.spelt and self.spelt(piece) else self.words_of(piece)
 
 
-def chunks(batch: pa.RecordBatch, column: int, size: int = 4_000_000) -> Iterator[tuple[int, list[str]]]:
+def chunks(batch: pa.RecordBatch, column: int, size: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
     """Runs of rows with about ``size`` characters of text: where each starts, and its texts (null: empty)."""
     held: list[str] = []
     start, chars = 0, 0

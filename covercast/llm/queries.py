@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covercast.llm import bpe, digest, html_text, minhash, mixing, quality, token_files
+from covercast.llm import balltree, bpe, digest, html_text, minhash, mixing, quality, token_files
 from covercast.llm.storage import fresh_path
 
 
@@ -37,6 +37,26 @@ def op4_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.compare_with_edits(_table(spark, sf_dir, "documents"))
 
 
+def op6_balltree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return balltree.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+OP6_SQL = """
+WITH valid AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+        list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM valid q JOIN valid c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0
+), ranked AS (
+    SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+    FROM scored
+)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5
+"""
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(_table(spark, sf_dir, "documents")).drop("source", "copies")
 
@@ -117,9 +137,10 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_minhash": op3_minhash,
     "op4_digest": op4_digest,
+    "op6_balltree": op6_balltree,
     "op7_mixing": op7_mixing,
     "op8_quality": op8_quality,
     "op10_bpe": op10_bpe,
 }
 
-ORACLE_SQL: dict[str, str] = {"op7_mixing": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_balltree": OP6_SQL, "op7_mixing": OP7_SQL}
