@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covercast.llm import balltree, bpe, digest, html_text, minhash, mixing, quality, token_files
+from covercast.llm import balltree, bpe, digest, html_text, lm, minhash, mixing, quality, token_files
 from covercast.llm.storage import fresh_path
 
 
@@ -37,6 +37,10 @@ def op4_digest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digest.compare_with_edits(_table(spark, sf_dir, "documents"))
 
 
+def op5_recurrent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score(_table(spark, sf_dir, "documents"))
+
+
 def op6_balltree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return balltree.top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
 
@@ -137,6 +141,7 @@ QUERIES = {
     "op2_token_files": op2_token_files,
     "op3_minhash": op3_minhash,
     "op4_digest": op4_digest,
+    "op5_recurrent_lm": op5_recurrent_lm,
     "op6_balltree": op6_balltree,
     "op7_mixing": op7_mixing,
     "op8_quality": op8_quality,

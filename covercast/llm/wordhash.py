@@ -28,13 +28,15 @@ def word_hashes(data: np.ndarray, fold: bool = True) -> np.ndarray:
     if not len(begins):
         return np.zeros(0, np.uint64)
     # Where each byte stands in its word; blanks add nothing.
-    start = np.zeros(len(data), np.int64)
+    kind = np.int32 if len(data) < 1 << 31 else np.int64
+    start = np.zeros(len(data), kind)
     start[begins] = begins
-    place = np.arange(len(data)) - np.maximum.accumulate(start)
+    place = np.arange(len(data), dtype=kind) - np.maximum.accumulate(start, out=start)
     values = LOWER[data] if fold else data.astype(np.uint64)
-    values = (values + np.uint64(1)) * PLACES[place & 255]
+    values += np.uint64(1)
+    values *= PLACES[place & 255]
     # Words beyond 256 bytes: the same place in another turn counts differently.
-    if place[-1] > 255 or place.max() > 255:
+    if place.max() > 255:
         values = values * (np.uint64(2) * (place >> 8).astype(np.uint64) + np.uint64(1))
     values[blank] = 0
     return mixed(np.add.reduceat(values, begins))
