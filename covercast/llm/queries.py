@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covercast.llm import balltree, bpe, digest, html_text, lm, minhash, mixing, quality, token_files
+from covercast.llm import balltree, bpe, chat, digest, html_text, lm, minhash, mixing, quality, token_files
 from covercast.llm.storage import fresh_path
 
 
@@ -126,6 +126,10 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.recover(_table(spark, sf_dir, "conversations"))
+
+
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     encoded = bpe.encode(_table(spark, sf_dir, "documents"), tokenizer_path())
     return bpe.decode(encoded, tokenizer_path()).select(
@@ -145,6 +149,7 @@ QUERIES = {
     "op6_balltree": op6_balltree,
     "op7_mixing": op7_mixing,
     "op8_quality": op8_quality,
+    "op9_chat": op9_chat,
     "op10_bpe": op10_bpe,
 }
 
