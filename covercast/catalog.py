@@ -14,7 +14,7 @@ from covercast.keys import INSTANCE
 from covercast.operators import (
     asof, bookings, calendar, capacity, evaluate, labels, lookups, rows, slots,
 )
-from covercast.plans import model, prediction, training
+from covercast.plans import model, upcoming, training
 from covercast.sources import benchmark
 from covercast.sources.benchmark import AS_OF, NOW
 
@@ -34,7 +34,7 @@ def _query(build: Callable[[dict[str, DataFrame]], DataFrame]) -> None:
 def _scored(build: Callable[[DataFrame], DataFrame]) -> None:
     """Register a query over the judged rows under its function's name."""
     _QUERIES[build.__name__] = lambda spark, sf_dir: build(
-        evaluate.with_prediction(benchmark.scored(spark, sf_dir))
+        evaluate.with_class(benchmark.scored(spark, sf_dir))
     )
 
 
@@ -157,7 +157,7 @@ def shift_times(src):
 
 @_query
 def future_capacity(src):
-    return prediction.future_capacity(src, AS_OF)
+    return upcoming.future_capacity(src, AS_OF)
 
 
 # --- bookings -------------------------------------------------------------------
@@ -350,23 +350,23 @@ def training_shift_rich(src):
 
 
 @_query
-def prediction_shift(src):
-    return prediction.prediction_shift(src, AS_OF, NOW)
+def upcoming_shift(src):
+    return upcoming.upcoming_shift(src, AS_OF, NOW)
 
 
 @_query
-def prediction_shift_holiday(src):
-    return prediction.prediction_shift_holiday(src, AS_OF)
+def upcoming_shift_holiday(src):
+    return upcoming.upcoming_shift_holiday(src, AS_OF)
 
 
 @_query
-def prediction_slot(src):
-    return prediction.prediction_slot(src, AS_OF, NOW)
+def upcoming_slot(src):
+    return upcoming.upcoming_slot(src, AS_OF, NOW)
 
 
 @_query
-def prediction_shift_rich(src):
-    return prediction.prediction_shift_rich(src, AS_OF, NOW)
+def upcoming_shift_rich(src):
+    return upcoming.upcoming_shift_rich(src, AS_OF, NOW)
 
 
 # --- rows and evaluation ----------------------------------------------------------
@@ -390,8 +390,8 @@ def class_balance(judged):
 
 
 @_scored
-def prediction_summary(judged):
-    return evaluate.prediction_summary(judged).withColumn(
+def score_summary(judged):
+    return evaluate.score_summary(judged).withColumn(
         "avg_hot_probability", F.round("avg_hot_probability", 9)
     )
 
@@ -450,6 +450,23 @@ def score_histogram(judged):
     )
 
 
+@_scored
+def score_histogram_all(judged):
+    return evaluate.score_histogram(judged).withColumns({c: F.round(c, 9) for c in ("bin_start", "bin_end")})
+
+
+@_scored
+def row_weights(judged):
+    counted = F.month("shift_date") % 5 != 0
+    return rows.with_class_weight(judged.select("shift_date", "venue_key_id", "persistent_id", "day_prior", "is_hot"), counted=counted)
+
+
+@_scored
+def fixed_sample(judged):
+    keys = ["shift_date", "venue_key_id", "persistent_id", "day_prior"]
+    return rows.fixed_sample(judged.select(*keys, "is_hot"), 200, 42, keys)
+
+
 @_scored
 def calibration_curve(judged):
     return evaluate.calibration_curve(judged)
@@ -465,11 +482,10 @@ _QUERIES["stratified_split"] = stratified_split
 # --- model --------------------------------------------------------------------------
 
 
-def model_predictions(spark, sf_dir):
+def model_scores(spark, sf_dir):
     """Fit on the past slots and score the coming ones (no SQL counterpart)."""
     src = benchmark.sources(spark, sf_dir)
-    model.ensure_checkpoint_dir(spark)
-    past = training.training_slot(src, AS_OF, NOW).checkpoint()
+    past = training.training_slot(src, AS_OF, NOW).persist()
     fitted, _, _ = model.train_and_evaluate(
         past,
         model.SLOT_FEATURES,
@@ -477,16 +493,16 @@ def model_predictions(spark, sf_dir):
         model.BoostParams(trees=10, step=0.3),
         weighted=True,
     )
-    coming = prediction.prediction_slot(src, AS_OF, NOW)
+    coming = upcoming.upcoming_slot(src, AS_OF, NOW)
     return model.predict_future(fitted, coming).select(
         *slots.SLOT, "slot_capacity", "covers_as_of_date", evaluate.SCORE, evaluate.PREDICTED
     )
 
 
-_QUERIES["model_predictions"] = model_predictions
+_QUERIES["model_scores"] = model_scores
 
 # Queries that SQL cannot express.
-ITERATIVE = ("model_predictions",)
+ITERATIVE = ("model_scores",)
 
 
 def queries() -> dict[str, Query]:

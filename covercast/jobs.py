@@ -19,7 +19,7 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 
 from covercast.operators import evaluate
-from covercast.plans import backtest, model, prediction, training
+from covercast.plans import backtest, model, upcoming, training
 from covercast.sources import sinks
 from covercast.sources.load import is_empty, load_sources, require_columns
 
@@ -27,14 +27,14 @@ from covercast.sources.load import is_empty, load_sources, require_columns
 
 @dataclass(frozen=True)
 class Variant:
-    """A training table with its prediction table and model settings.
+    """A training table with its upcoming table and model settings.
 
     ``features`` None takes every number and text that is not an identifier,
     with weekdays and months by name.
     """
 
     training: Callable[[dict[str, DataFrame], dt.date, dt.datetime], DataFrame]
-    prediction: Callable[[dict[str, DataFrame], dt.date, dt.datetime], DataFrame]
+    upcoming: Callable[[dict[str, DataFrame], dt.date, dt.datetime], DataFrame]
     covers: str = "covers_as_of_date"
     capacity: str = "util_capacity"
     features: tuple[str, ...] | None = None
@@ -50,15 +50,15 @@ class Variant:
 VARIANTS = {
     "rich": Variant(
         lambda s, as_of, now: training.training_shift_rich(s, as_of),
-        prediction.prediction_shift_rich,
+        upcoming.upcoming_shift_rich,
     ),
     "running": Variant(
         lambda s, as_of, now: training.training_shift_running(s, as_of),
-        prediction.prediction_shift,
+        upcoming.upcoming_shift,
     ),
     "holiday": Variant(
         lambda s, as_of, now: training.training_shift_asof(s, as_of),
-        lambda s, as_of, now: prediction.prediction_shift_holiday(s, as_of),
+        lambda s, as_of, now: upcoming.upcoming_shift_holiday(s, as_of),
         covers="cumulative_covers_as_of_snapshot",
         features=model.HOLIDAY_FEATURES,
         weighted=True,
@@ -66,7 +66,7 @@ VARIANTS = {
     ),
     "slot": Variant(
         training.training_slot,
-        prediction.prediction_slot,
+        upcoming.upcoming_slot,
         capacity="slot_capacity",
         features=model.SLOT_FEATURES,
         weighted=True,
@@ -128,14 +128,14 @@ def predict_job(
     variant: Variant,
     fitted: PipelineModel,
 ) -> DataFrame:
-    """Score the coming sittings; write predictions, summary and the likeliest ten."""
-    table = variant.prediction(sources, as_of, now)
+    """Score the coming sittings; write scores, summary and the likeliest ten."""
+    table = variant.upcoming(sources, as_of, now)
     sinks.write_table(model.predict_future(fitted, table), f"{out}/scored_future")
     scored = table.sparkSession.read.parquet(f"{out}/scored_future")
     keys = [c for c in (variant.day_col, "venue_key_id", "persistent_id", "shift_persistent_id", "slot_index") if c in scored.columns]
     named = scored.withColumnRenamed(evaluate.SCORE, variant.probability)
-    sinks.write_predictions(sinks.ordered(named, keys), f"{out}/predictions")
-    summary = evaluate.prediction_summary(scored, variant.day_col)
+    sinks.write_scores(sinks.ordered(named, keys), f"{out}/scores")
+    summary = evaluate.score_summary(scored, variant.day_col)
     sinks.write_table(summary, f"{out}/summary", "csv")
     sinks.write_table(evaluate.top_hot_shifts(scored, keys=keys), f"{out}/top_hot", "csv")
     sinks.write_table(evaluate.score_histogram(scored), f"{out}/score_histogram", "csv")

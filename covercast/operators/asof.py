@@ -78,7 +78,7 @@ def expand_steps(joined: DataFrame, measures: Iterable[str], last_day: int) -> D
     seen = F.coalesce(F.col("day_prior") <= F.col("hi"), F.lit(False))
     expanded = (
         joined.withColumn("day_prior", F.explode(F.sequence(F.coalesce("lo", F.lit(0)), top)))
-        .withColumns({m: F.when(seen, F.col(m)).otherwise(0) for m in measures})
+        .withColumns({m: F.when(seen, F.coalesce(m, F.lit(0))).otherwise(0) for m in measures})
         .drop("hi", "lo", "topmost")
     )
     return with_snapshot_day(expanded)
@@ -177,8 +177,12 @@ def gathered_bookings(bookings: DataFrame) -> DataFrame:
     return bookings.groupBy(*INSTANCE).agg(
         F.collect_list(F.when(lead >= 0, entry)).alias("booked"),
         F.sum(covers).alias("final_actual_covers"),
-        F.count("creation_day").alias("booking_days"),
         *[F.sum(F.when(lead <= n, covers).otherwise(0)).alias(f"near_{n}") for n in VELOCITY_DAYS],
+        # Days within n whose party sizes are all unknown take no part in the mean.
+        *[
+            F.count(F.when(F.col("creation_day").isNotNull(), F.when(lead <= n, covers).otherwise(0))).alias(f"days_{n}")
+            for n in VELOCITY_DAYS
+        ],
     )
 
 
@@ -199,7 +203,7 @@ def running_sum(
     values: dict[str, Column | str],
     frame: str = "rows",
 ) -> DataFrame:
-    """Running totals per key. ``frame="range"`` gives peers the same total.
+    """Running totals per key, null counting as 0. ``frame="range"`` gives peers the same total.
 
     Rows per key should be bounded, as after an aggregation by calendar day.
     """
@@ -207,7 +211,7 @@ def running_sum(
     bounds = (Window.unboundedPreceding, Window.currentRow)
     window = window.rowsBetween(*bounds) if frame == "rows" else window.rangeBetween(*bounds)
     columns = {n: F.col(v) if isinstance(v, str) else v for n, v in values.items()}
-    return df.withColumns({n: F.sum(v).over(window) for n, v in columns.items()})
+    return df.withColumns({n: F.sum(F.coalesce(v, F.lit(0))).over(window) for n, v in columns.items()})
 
 
 def running_features(

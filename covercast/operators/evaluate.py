@@ -1,7 +1,7 @@
 """Evaluation tables over scored rows.
 
 Scored rows carry ``is_hot`` (0/1), ``hot_probability`` in 0..1 and, after
-``with_prediction``, ``predicted_hot`` (0/1).
+``with_class``, ``predicted_hot`` (0/1).
 """
 
 from __future__ import annotations
@@ -14,18 +14,20 @@ from pyspark.sql import functions as F
 from covercast.functions.basic import safe_ratio
 
 LABEL, SCORE, PREDICTED = "is_hot", "hot_probability", "predicted_hot"
+# Fixed value: header of the saved back-test.
+CORRECT = "correct_prediction"
 
 # Columns of a saved back-test.
 BACKTEST_COLUMNS = [
-    "shift_date", "venue_key_id", "persistent_id", LABEL, PREDICTED, SCORE, "correct_prediction",
+    "shift_date", "venue_key_id", "persistent_id", LABEL, PREDICTED, SCORE, CORRECT,
 ]
 
 
-def with_prediction(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
+def with_class(scored: DataFrame, threshold: float = 0.5) -> DataFrame:
     """Add the predicted class and whether it is right."""
     predicted = (F.col(SCORE) > threshold).cast("int")
     return scored.withColumn(PREDICTED, predicted).withColumn(
-        "correct_prediction", F.col(LABEL) == F.col(PREDICTED)
+        CORRECT, F.col(LABEL) == F.col(PREDICTED)
     )
 
 
@@ -138,7 +140,7 @@ def accuracy_by_horizon(scored: DataFrame, edges: Iterable[int] = (0, 7, 30, 90,
     )
 
 
-def prediction_summary(scored: DataFrame, day_col: str = "shift_date") -> DataFrame:
+def score_summary(scored: DataFrame, day_col: str = "shift_date") -> DataFrame:
     total, hot = F.count(F.lit(1)), F.sum(PREDICTED)
     return scored.agg(
         total.alias("total_shifts"),
@@ -272,7 +274,8 @@ def pr_points(scored: DataFrame) -> DataFrame:
 def score_histogram(scored: DataFrame, bins: int = 30, by: str | None = None) -> DataFrame:
     """Equal-width counts between the lowest and highest score, per class of
     ``by`` when given. The last bin is closed; empty bins are listed."""
-    group = F.col(by) if by else F.lit(0)
+    # Without classes every row has key 0, by an expression that stays a join key.
+    group = F.col(by) if by else F.pmod(F.hash(SCORE), F.lit(1))
     rows = scored.select(group.alias("g"), F.col(SCORE).alias("x")).filter(
         F.col("g").isNotNull() & F.col("x").isNotNull()
     )
@@ -285,7 +288,8 @@ def score_histogram(scored: DataFrame, bins: int = 30, by: str | None = None) ->
     width = (F.col("hi") - F.col("lo")) / bins
     at = F.least(F.floor((F.col("x") - F.col("lo")) / width).cast("int"), F.lit(bins - 1))
     counts = (
-        rows.join(ranges, "g").groupBy("g", at.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+        # One range per class, or a single one.
+        rows.join(F.broadcast(ranges), "g").groupBy("g", at.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
     )
     spine = ranges.withColumn("bin", F.explode(F.sequence(F.lit(0), F.lit(bins - 1))))
     result = spine.join(counts, ["g", "bin"], "left").select(

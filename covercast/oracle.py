@@ -6,6 +6,7 @@ seating simulation), so that agreement with the Spark plans means something.
 
 from __future__ import annotations
 
+from covercast.operators.evaluate import CORRECT
 from covercast.sources.benchmark import durations_sql, pacing_sql
 
 AS_OF = "DATE '2001-01-01'"
@@ -44,7 +45,7 @@ reservation AS (
               + to_minutes(CAST(o % 1440 AS INTEGER)) END AS created,
          CASE WHEN p % 101 <> 0 THEN CASE flag WHEN 'R' THEN 'CANCELED' WHEN 'A' THEN 'COMPLETE'
               ELSE 'CONFIRMED' END END AS status,
-         CAST(1 + quantity % 8 AS INTEGER) AS max_guests
+         CASE WHEN p % 61 <> 3 AND (venue + week % 34) % 23 <> 5 THEN CAST(1 + quantity % 8 AS INTEGER) END AS max_guests
   FROM placed),
 template AS (
   SELECT venue, t, t % 3 AS shift, t // 3 AS version, category,
@@ -363,7 +364,7 @@ _SCORED = f"""WITH scored AS (
                l_suppkey // 5 AS venue_key_id, {_SHIFT.format('(l_linenumber % 3)')} AS persistent_id,
                CAST(l_shipdate AS DATE) AS shift_date, CAST(l_quantity AS INTEGER) - 1 AS day_prior FROM lineitem)),
 judged AS (SELECT *, CASE WHEN hot_probability > 0.5 THEN 1 ELSE 0 END AS predicted_hot,
-             is_hot = CASE WHEN hot_probability > 0.5 THEN 1 ELSE 0 END AS correct_prediction FROM scored),
+             is_hot = CASE WHEN hot_probability > 0.5 THEN 1 ELSE 0 END AS {CORRECT} FROM scored),
 confusion AS (
   SELECT count(*) FILTER (is_hot = 1 AND predicted_hot = 1) AS true_positives,
          count(*) FILTER (is_hot = 0 AND predicted_hot = 1) AS false_positives,
@@ -522,7 +523,7 @@ FROM ({scaffold}) s LEFT JOIN booked b ON b.venue_key_id = s.venue_key_id AND b.
  CAST(coalesce(sum(b.covers_created_on_day), 0) AS BIGINT) AS covers_recent
 FROM (SCAFFOLD) s LEFT JOIN booked b ON b.venue_key_id = s.venue_key_id AND b.persistent_id = s.persistent_id AND b.shift_date = s.shift_date
  AND b.creation_day BETWEEN s.snapshot_timestamp - 7 AND s.snapshot_timestamp GROUP BY ALL""".replace("SCAFFOLD", scaffold)
-    running = "CAST(sum({0}) OVER (PARTITION BY venue_key_id, persistent_id, shift_date ORDER BY {1}) AS BIGINT) AS {2}"
+    running = "CAST(sum(coalesce({0}, 0)) OVER (PARTITION BY venue_key_id, persistent_id, shift_date ORDER BY {1}) AS BIGINT) AS {2}"
     q["running_sum_rows"] = _with(_BOOKED.format("")) + f"""SELECT {out}, creation_day,
  {running.format('covers_created_on_day', 'creation_day ROWS UNBOUNDED PRECEDING', 'running_covers')},
  {running.format('reservations_created_on_day', 'creation_day ROWS UNBOUNDED PRECEDING', 'running_reservations')} FROM booked"""
@@ -539,7 +540,7 @@ FROM (SELECT *, creation_day - CAST(dayofweek(creation_day) AS INTEGER) AS creat
     q["slot_covers"] = _with(_slots(_PAST_400D), _slot_covers(_SLOT_PAST)) + "SELECT * FROM slot_cov"
     q["training_slot"] = _with(_slots(_PAST_400D), _slot_covers(_SLOT_PAST)) + f"""SELECT {_SLOT_TABLE}, 0 AS day_prior,
  {_hot('v.covers_in_slot', 's.slot_capacity', 0.85)} {_SLOT_JOIN}"""
-    q["prediction_slot"] = _with(_slots(_FUTURE), _slot_covers(_SLOT_FUTURE)) + f"""SELECT {_SLOT_TABLE},
+    q["upcoming_slot"] = _with(_slots(_FUTURE), _slot_covers(_SLOT_FUTURE)) + f"""SELECT {_SLOT_TABLE},
  CAST(date_diff('day', {AS_OF}, s.shift_date) AS INTEGER) AS day_prior {_SLOT_JOIN}"""
 
     q["training_shift_final"] = _with(_capacity(*_PAST, extra=_TIMES), bucket_cte) + f"""SELECT c.shift_date AS date, c.venue_key_id, v.name AS venue_name, c.name AS shift_name,
@@ -564,7 +565,7 @@ SELECT s.shift_date AS reservation_date, s.venue_key_id, v.name AS venue_name, n
 FROM seen s LEFT JOIN venue v ON v.id = s.venue_key_id LEFT JOIN names n ON n.venue_key_id = s.venue_key_id AND n.persistent_id = s.persistent_id"""
     q["training_shift_rich"] = _with(days_2y, booked_2y, velocity_cte) + f""", visible AS (
   SELECT t.*, r.creation_day, coalesce(r.covers_created_on_day, 0) AS c, coalesce(r.reservations_created_on_day, 0) AS n,
-         CASE WHEN t.snapshot_timestamp - r.creation_day <= 7 THEN r.covers_created_on_day ELSE 0 END AS recent
+         CASE WHEN t.snapshot_timestamp - r.creation_day <= 7 THEN coalesce(r.covers_created_on_day, 0) ELSE 0 END AS recent
   {pairs} WHERE t.day_prior BETWEEN 1 AND 180 OR t.day_prior IN (0, 365)),
  summed AS (SELECT *, CAST(sum(c) OVER w AS BIGINT) AS covers_as_of_date, CAST(sum(n) OVER w AS BIGINT) AS reservations_as_of_date, CAST(sum(recent) OVER w AS BIGINT) AS covers_last_7_days
    FROM visible WINDOW w AS (PARTITION BY venue_key_id, persistent_id, shift_date ORDER BY snapshot_timestamp, creation_day NULLS FIRST, int_id, shift_category ROWS UNBOUNDED PRECEDING))
@@ -579,15 +580,15 @@ FROM summed s LEFT JOIN velocity v ON v.venue_key_id = s.venue_key_id AND v.pers
     future = f"""{_capacity(*_FUTURE)},
 coming AS (SELECT * RENAME (date AS shift_date) FROM capacity WHERE util_capacity > 0)"""
     ahead = f"CAST(date_diff('day', {AS_OF}, c.shift_date) AS INTEGER) AS day_prior"
-    q["prediction_shift"] = _with(future, _CURRENT) + f"""SELECT c.shift_date, c.venue_key_id, c.persistent_id, c.shift_category, {ahead}, c.util_capacity, {_parts('c.shift_date')},
+    q["upcoming_shift"] = _with(future, _CURRENT) + f"""SELECT c.shift_date, c.venue_key_id, c.persistent_id, c.shift_category, {ahead}, c.util_capacity, {_parts('c.shift_date')},
  coalesce(b.current_total_covers, 0) AS covers_as_of_date FROM coming c LEFT JOIN current_books b {_USING}"""
-    q["prediction_shift_holiday"] = _with(_capacity(*_FUTURE, extra=_TIMES)) + f""", coming AS (SELECT * RENAME (date AS shift_date) FROM capacity WHERE util_capacity > 0),
+    q["upcoming_shift_holiday"] = _with(_capacity(*_FUTURE, extra=_TIMES)) + f""", coming AS (SELECT * RENAME (date AS shift_date) FROM capacity WHERE util_capacity > 0),
  upcoming AS (SELECT venue_key_id, shift_persistent_id AS persistent_id, CAST(marked_time AS DATE) AS shift_date, CAST(sum(max_guests) AS BIGINT) AS guests
    FROM active WHERE CAST(marked_time AS DATE) >= {AS_OF} GROUP BY 1, 2, 3)
 SELECT c.shift_date AS reservation_date, c.venue_key_id, v.name AS venue_name, c.name AS shift_name, c.persistent_id AS shift_persistent_id, {_parts('c.shift_date')},
  c.util_capacity, {ahead}, coalesce(u.guests, 0) AS cumulative_covers_as_of_snapshot, {_is_holiday('c.shift_date')}
 FROM coming c LEFT JOIN upcoming u {_USING} LEFT JOIN venue v ON v.id = c.venue_key_id"""
-    q["prediction_shift_rich"] = _with(future, _CURRENT, patterns_cte) + f"""SELECT c.shift_date, c.venue_key_id, c.persistent_id, c.shift_category, {ahead}, {_parts('c.shift_date')}, c.util_capacity,
+    q["upcoming_shift_rich"] = _with(future, _CURRENT, patterns_cte) + f"""SELECT c.shift_date, c.venue_key_id, c.persistent_id, c.shift_category, {ahead}, {_parts('c.shift_date')}, c.util_capacity,
  coalesce(b.current_total_covers, 0) AS covers_as_of_date, coalesce(b.total_reservations, 0) AS current_reservation_count, coalesce(b.avg_party_size, 0) AS current_avg_party_size,
  coalesce(b.current_total_covers, 0) / c.util_capacity AS current_utilization_rate, {timing.replace('shift_date', 'c.shift_date')},
  {', '.join(f"coalesce(h.avg_covers_last_{n}_days, 0) AS historical_avg_covers_{n}d" for n in (30, 60, 90))},
@@ -600,10 +601,10 @@ FROM coming c LEFT JOIN current_books b {_USING} LEFT JOIN patterns h ON h.venue
  TRY_CAST(CASE WHEN l_partkey % 15 = 0 THEN '' WHEN l_partkey % 7 = 3 THEN NULL ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS DOUBLE) AS covers_as_of_date,
  CASE WHEN l_tax > 0.04 THEN 1 ELSE 0 END AS is_hot FROM lineitem) WHERE util_capacity IS NOT NULL AND covers_as_of_date IS NOT NULL"""
 
-    q["backtest_results"] = _SCORED + "SELECT shift_date, venue_key_id, persistent_id, is_hot, predicted_hot, hot_probability, correct_prediction FROM judged"
+    q["backtest_results"] = _SCORED + f"SELECT shift_date, venue_key_id, persistent_id, is_hot, predicted_hot, hot_probability, {CORRECT} FROM judged"
     q["class_balance"] = _SCORED + """SELECT count(*) FILTER (is_hot = 0) AS negatives, count(*) FILTER (is_hot = 1) AS positives,
  CAST(count(*) FILTER (is_hot = 0) AS DOUBLE) / count(*) FILTER (is_hot = 1) AS scale_pos_weight FROM scored"""
-    q["prediction_summary"] = _SCORED + """SELECT count(*) AS total_shifts, CAST(sum(predicted_hot) AS BIGINT) AS predicted_hot_shifts,
+    q["score_summary"] = _SCORED + """SELECT count(*) AS total_shifts, CAST(sum(predicted_hot) AS BIGINT) AS predicted_hot_shifts,
  100 * (CAST(sum(predicted_hot) AS DOUBLE) / count(*)) AS predicted_hot_percent, round(avg(hot_probability), 9) AS avg_hot_probability,
  min(shift_date) AS first_date, max(shift_date) AS last_date FROM judged"""
     q["accuracy_by_weekday"] = _SCORED + f"SELECT day_of_week, {_ACCURACY} FROM judged GROUP BY 1"
@@ -625,6 +626,14 @@ UNION ALL SELECT 'weighted avg', (cp * colds + hp * hots) / n, (cr * colds + hr
     q["roc_points"] = _SCORED + "SELECT threshold, fp / all_neg AS fpr, tp / all_pos AS tpr FROM curve UNION ALL SELECT NULL, 0, 0"
     q["pr_points"] = _SCORED + "SELECT threshold, tp / (tp + fp) AS \"precision\", tp / all_pos AS recall FROM curve UNION ALL SELECT NULL, 1, 0"
     q["score_histogram"] = _histogram("is_hot")
+    q["score_histogram_all"] = _histogram(None)
+    q["row_weights"] = _SCORED + """, b AS (SELECT sum(CAST(is_hot = 0 AS BIGINT)) AS n, sum(CAST(is_hot = 1 AS BIGINT)) AS p
+  FROM scored WHERE month(shift_date) % 5 <> 0)
+SELECT shift_date, venue_key_id, persistent_id, day_prior, is_hot,
+ CASE WHEN is_hot = 1 AND b.n > 0 AND b.p > 0 THEN CAST(b.n AS DOUBLE) / b.p ELSE 1.0::DOUBLE END AS weight FROM scored, b"""
+    q["fixed_sample"] = _SCORED + """SELECT shift_date, venue_key_id, persistent_id, day_prior, is_hot FROM scored
+ORDER BY md5('42|' || CAST(shift_date AS VARCHAR) || '|' || venue_key_id || '|' || persistent_id || '|' || day_prior),
+ shift_date, venue_key_id, persistent_id, day_prior LIMIT 200"""
     q["calibration_curve"] = _SCORED + """, bins AS (SELECT CAST(b AS INTEGER) AS bin, b / 10.0::DOUBLE AS lo, (b + 1) / 10.0::DOUBLE AS hi FROM range(10) t(b))
 SELECT bin, (2 * bin + 1) / 20.0::DOUBLE AS bin_center, coalesce(avg(is_hot), 0) AS fraction_of_positives, count(is_hot) AS rows
 FROM bins LEFT JOIN scored ON hot_probability > lo AND hot_probability <= hi GROUP BY bin"""

@@ -34,7 +34,7 @@ def backtest(
         )
     else:
         judged = score(model, clean)
-    return judged.withColumn("correct_prediction", judged[evaluate.LABEL] == judged[evaluate.PREDICTED])
+    return judged.withColumn(evaluate.CORRECT, judged[evaluate.LABEL] == judged[evaluate.PREDICTED])
 
 
 def report(judged: DataFrame) -> dict[str, DataFrame]:

@@ -228,7 +228,7 @@ def training_shift_rich(
         f"historical_avg_covers_{n}d": F.coalesce(
             safe_ratio(
                 F.sum(F.when(counts, F.col(f"near_{n}"))).over(alike),
-                F.sum(F.when(counts, F.col("booking_days"))).over(alike),
+                F.sum(F.when(counts, F.col(f"days_{n}"))).over(alike),
             ),
             F.lit(0.0),
         )

@@ -109,7 +109,7 @@ def reservations(lineitem: DataFrame) -> DataFrame:
         "+ interval '1' minute * (o % 1440) end",
         status="case when p % 101 <> 0 then case flag when 'R' then 'CANCELED' when 'A' then 'COMPLETE' "
         "else 'CONFIRMED' end end",
-        max_guests="1 + quantity % 8",
+        max_guests="case when p % 61 <> 3 and (venue + week % 34) % 23 <> 5 then 1 + quantity % 8 end",
     )
 
 

@@ -36,7 +36,7 @@ def write_table(
         writer.format(fmt).save(path)
 
 
-def write_predictions(
+def write_scores(
     df: DataFrame, path: str, fmt: str = "csv", partition_by: Iterable[str] = ()
 ) -> None:
     write_table(df, path, fmt, partition_by)

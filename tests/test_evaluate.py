@@ -10,7 +10,7 @@ from covercast.operators import evaluate
 def scored(spark, labels, scores, extra=None):
     rows = [(int(y), float(p)) for y, p in zip(labels, scores)]
     df = spark.createDataFrame(rows, "is_hot int, hot_probability double")
-    return evaluate.with_prediction(df)
+    return evaluate.with_class(df)
 
 
 def brute_auc(y, p):

@@ -3,6 +3,7 @@
 import pytest
 
 from covercast import jobs
+from covercast.operators.evaluate import CORRECT
 from covercast.plans import model
 from covercast.sources import benchmark, sinks
 
@@ -29,14 +30,14 @@ def test_train_backtest_predict(spark, warehouse, tmp_path):
     assert float(read("validation_metrics").first().accuracy) > 0.5
     results = read("backtest/results")
     assert results.columns == [
-        "shift_date", "venue_key_id", "persistent_id", "is_hot", "predicted_hot", "hot_probability", "correct_prediction",
+        "shift_date", "venue_key_id", "persistent_id", "is_hot", "predicted_hot", "hot_probability", CORRECT,
     ]
     assert {r.venue_key_id for r in results.select("venue_key_id").distinct().collect()} == {"0"}
     assert min(r.shift_date for r in results.collect()) >= "2000-10-03"
-    predictions = read("predictions")
-    assert "hot_shift_probability" in predictions.columns
-    assert predictions.count() == int(read("summary").first().total_shifts) > 0
-    assert read("top_hot").count() == min(10, predictions.count())
+    scores = read("scores")
+    assert "hot_shift_probability" in scores.columns
+    assert scores.count() == int(read("summary").first().total_shifts) > 0
+    assert read("top_hot").count() == min(10, scores.count())
     assert read("top_features").count() == 10
     again = model.load_model(f"{out}/model")
     assert "day_of_week" in model.model_features(again)[0]
@@ -49,7 +50,7 @@ def test_train_backtest_predict(spark, warehouse, tmp_path):
 def test_other_tables(spark, warehouse, tmp_path, table, probability, features):
     out = str(tmp_path)
     run(warehouse, out, "--table", table)
-    predictions = spark.read.option("header", True).csv(f"{out}/predictions")
-    assert probability in predictions.columns and predictions.count() > 0
+    scores = spark.read.option("header", True).csv(f"{out}/scores")
+    assert probability in scores.columns and scores.count() > 0
     assert model.model_features(model.load_model(f"{out}/model")) == ([], list(features))
     assert not (tmp_path / "backtest").exists()

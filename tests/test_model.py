@@ -80,7 +80,7 @@ def test_backtest_report(fitted, table):
     assert tables["metrics"][0].accuracy > 0.9
     assert {r.day_of_week for r in tables["by_weekday"]} <= set(range(1, 8))
     assert len(tables["by_horizon"]) == 4 and len(tables["calibration"]) == 10
-    assert judged.columns[: len(table.columns) - 2] and "correct_prediction" in judged.columns
+    assert judged.columns[: len(table.columns) - 2] and evaluate.CORRECT in judged.columns
 
 
 def test_weighted_fit_and_fixed_features(spark, table):

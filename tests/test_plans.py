@@ -65,13 +65,13 @@ def test_calendar_needs_no_join(plan_of):
 def test_booking_aggregates_combine_before_the_shuffle(plan_of):
     for name in ("actual_covers", "bookings_by_creation_day", "current_bookings", "booking_patterns", "lead_time_buckets"):
         plan = plan_of(name)
-        assert plan.count("Exchange hashpartitioning") == 1 and "partial_sum" in plan or "partial_avg" in plan
+        assert plan.count("Exchange hashpartitioning") == 1 and ("partial_sum" in plan or "partial_avg" in plan)
 
 
 @pytest.mark.parametrize(
     "name",
     ["training_shift_final", "training_shift_running", "training_shift_asof", "training_shift_rich",
-     "training_slot", "prediction_shift", "prediction_slot", "label_quantile"],
+     "training_slot", "upcoming_shift", "upcoming_slot", "label_quantile"],
 )
 def test_reservations_are_scanned_once(spark, plan_of, name):
     scans = re.findall(r"FileScan parquet \[[^\]]*l_orderkey", final_plan(spark, name))

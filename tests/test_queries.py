@@ -2,8 +2,9 @@
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
-from covercast.catalog import ITERATIVE
+from __spark_entry__ import entry
+from covercast.catalog import ITERATIVE, queries
+from covercast.oracle import oracle_sql
 from compare import connect, difference, type_differences
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -26,9 +27,9 @@ def test_every_query_but_the_iterative_ones_has_sql():
     assert set(queries()) == set(oracle_sql()) | set(ITERATIVE)
 
 
-def test_model_predictions_cover_every_coming_slot(spark):
-    scored = queries()["model_predictions"](spark, SF_DIR)
-    coming = queries()["prediction_slot"](spark, SF_DIR)
+def test_model_scores_cover_every_coming_slot(spark):
+    scored = queries()["model_scores"](spark, SF_DIR)
+    coming = queries()["upcoming_slot"](spark, SF_DIR)
     assert scored.count() == coming.count() > 0
     assert scored.filter("hot_probability between 0 and 1").count() == scored.count()
 

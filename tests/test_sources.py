@@ -72,10 +72,10 @@ def test_conform_casts_and_fills_optional_columns(spark):
 
 def test_csv_round_trip_and_partitions(spark, tmp_path):
     df = spark.sql("select 0.25D as hot_probability, 'lunch' as persistent_id, date'2024-06-01' as shift_date")
-    sinks.write_predictions(df, f"{tmp_path}/csv")
+    sinks.write_scores(df, f"{tmp_path}/csv")
     back = spark.read.option("header", True).csv(f"{tmp_path}/csv").first()
     assert (back.hot_probability, back.persistent_id, back.shift_date) == ("0.25", "lunch", "2024-06-01")
-    sinks.write_predictions(df, f"{tmp_path}/parquet", "parquet", ["shift_date"])
+    sinks.write_scores(df, f"{tmp_path}/parquet", "parquet", ["shift_date"])
     assert (tmp_path / "parquet" / "shift_date=2024-06-01").exists()
     assert spark.read.parquet(f"{tmp_path}/parquet").count() == 1
 
