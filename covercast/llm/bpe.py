@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from covercast.llm.pieces import PRE_TOKEN, PieceEncoder, chunks, id_lists, id_values
+from covercast.llm.pieces import PRE_TOKEN, PieceEncoder, chunks, id_lists, id_values, without_cycles
 from covercast.llm.storage import importable
 
 def byte_letters() -> list[str]:
@@ -176,9 +176,9 @@ def _encode_partition(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[
     for batch in batches:
         for at, texts in chunks(batch, 1):
             some = batch.slice(at, len(texts))
-            yield pa.RecordBatch.from_arrays(
-                [some.column(0), id_lists(encoder.texts(texts))], ["doc_id", "ids"]
-            )
+            with without_cycles():
+                ids = id_lists(encoder.texts(texts))
+            yield pa.RecordBatch.from_arrays([some.column(0), ids], ["doc_id", "ids"])
 
 
 def _decode_partition(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:

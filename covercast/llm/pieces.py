@@ -8,8 +8,11 @@ encoded once as well.
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Callable, Iterable, Iterator
+from contextlib import contextmanager
+from itertools import chain, filterfalse
 
 import numpy as np
 import pyarrow as pa
@@ -78,7 +81,7 @@ class PieceEncoder:
             memory.age()
         cut = [pieces(t) for t in texts]
         self._learn(self.first, {c[0] for c in cut}, "")
-        self._learn(self.spaced, set().union(*cut), " ")
+        self._learn(self.spaced, set(filterfalse(self.spaced.__contains__, chain.from_iterable(cut))), " ")
         first, spaced = self.first, self.spaced
         out = []
         for parts in cut:
@@ -90,7 +93,8 @@ class PieceEncoder:
         missing = known.lacking(wanted)
         if not missing:
             return
-        cut = [self._words(before + m) for m in missing]
+        # Letters alone are one pre-token.
+        cut = [[before + m] if m.isalpha() else self._words(before + m) for m in missing]
         words = self.words
         unknown = words.lacking(set().union(*cut))
         if unknown:
@@ -104,6 +108,18 @@ class PieceEncoder:
         return [piece] if self.spelt and self.spelt(piece) else self.words_of(piece)
 
 
+@contextmanager
+def without_cycles() -> Iterator[None]:
+    """No search for cycles meanwhile: strings in lists and dicts form none, but would be walked again and again."""
+    was_on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if was_on:
+            gc.enable()
+
+
 def chunks(batch: pa.RecordBatch, column: int, size: int = 2_000_000) -> Iterator[tuple[int, list[str]]]:
     """Runs of rows with about ``size`` characters of text: where each starts, and its texts (null: empty)."""
     held: list[str] = []

@@ -18,10 +18,17 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from covercast.llm.pieces import PieceEncoder, chunks, id_lists
+from covercast.llm.pieces import PieceEncoder, chunks, id_lists, without_cycles
 from covercast.llm.spread import in_order
 from covercast.llm.storage import importable
 
+#: Fixed value: the letter that stands for a space in byte-level vocabularies.
+SPACE_LETTER = "Ġ"
+#: Words that are encoded in one string.
+RUN = 100
+#: Characters of text that are encoded together.
+CHUNK = 6_000_000
+
 SCHEMA = "part int, doc_id bigint, local_start bigint, n_tokens bigint, tokens array<int>"
 
 
@@ -34,14 +41,31 @@ def library_encoder(path: str) -> PieceEncoder:
     tokenizer.no_truncation()
     tokenizer.no_padding()
 
-    def encode(words: list[str]) -> list[bytes]:
-        found = []
-        for at in range(0, len(words), 20_000):
-            for x in tokenizer.encode_batch_fast(words[at : at + 20_000], add_special_tokens=False):
-                found.append(array("i", x.ids).tobytes())
-        return found
+    special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    # Words that begin with their only space can be encoded in one string: an id whose token begins with a space begins a word.
+    spaced = np.zeros(tokenizer.get_vocab_size(), bool)
+    for token, i in tokenizer.get_vocab().items():
+        spaced[i] = token.startswith(SPACE_LETTER)
 
-    return PieceEncoder(encode, [t.content for t in tokenizer.get_added_tokens_decoder().values()], 400_000, 800_000)
+    def encode(words: list[str]) -> list[bytes]:
+        run = [w for w in words if w[0] == " " and w.count(" ") == 1 and not w.isspace() and not any(s in w for s in special)]
+        found = dict.fromkeys(run, b"")
+        for at in range(0, len(run), RUN):
+            some = run[at : at + RUN]
+            ids = tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids
+            starts = np.flatnonzero(spaced[ids]) * 4
+            if len(starts) != len(some):
+                break
+            data = array("i", ids).tobytes()
+            found.update(zip(some, map(data.__getitem__, map(slice, starts.tolist(), [*starts[1:].tolist(), len(data)]))))
+        rest = [w for w in words if not found.get(w)]
+        for at in range(0, len(rest), 20_000):
+            some = rest[at : at + 20_000]
+            encoded = tokenizer.encode_batch_fast(some, add_special_tokens=False)
+            found.update((w, array("i", x.ids).tobytes()) for w, x in zip(some, encoded))
+        return [found[w] for w in words]
+
+    return PieceEncoder(encode, special, 400_000, 800_000)
 
 
 def _encode_partition(batches: Iterator[pa.RecordBatch], path: str, end_id: int | None) -> Iterator[pa.RecordBatch]:
@@ -49,8 +73,9 @@ def _encode_partition(batches: Iterator[pa.RecordBatch], path: str, end_id: int
     encoder, end = library_encoder(path), b"" if end_id is None else np.int32(end_id).astype("<i4").tobytes()
     start = 0
     for batch in batches:
-        for at, texts in chunks(batch, 2):
-            lists = id_lists(x + end for x in encoder.texts(texts))
+        for at, texts in chunks(batch, 2, CHUNK):
+            with without_cycles():
+                lists = id_lists(x + end for x in encoder.texts(texts))
             counts = np.diff(np.asarray(lists.offsets)).astype(np.int64)
             starts = start + np.concatenate([[0], np.cumsum(counts)[:-1]])
             start += int(counts.sum())
