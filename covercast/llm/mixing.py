@@ -86,7 +86,7 @@ def targets(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MO
     return sources.select("source", "source_size", target.cast("double").alias("target"))
 
 
-def plan(sizes: DataFrame, seed: int = 0, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
+def plan(sizes: DataFrame, weights: tuple[int, ...] = WEIGHTS, most: int = MOST_COPIES) -> DataFrame:
     """How each source is sampled, from its documents' (source, lot, size): one row per source.
 
     copies: certain copies of each document; p: probability of one more; last_q, last_lot: end of the sample in
@@ -100,7 +100,7 @@ def plan(sizes: DataFrame, seed: int = 0, weights: tuple[int, ...] = WEIGHTS, mo
         .withColumn("words_left", F.col("target") - F.col("copies") * F.col("source_size")),
         "targets",
     )
-    ranked = with_plan(sizes, goal).filter("p > 0").withColumn("q", rank_number(F.col("lot"), F.col("p")))
+    ranked = joined(sizes, goal).filter("p > 0").withColumn("q", rank_number(F.col("lot"), F.col("p")))
     part = F.col("q") / (1 + F.col("q"))
     first = F.floor(part * CELLS)
     second = F.floor(part * CELLS * CELLS) - first * CELLS
@@ -157,9 +157,6 @@ def joined(left: DataFrame, right: DataFrame, how: str = "inner") -> DataFrame:
     return left.join(renamed, F.col("source").eqNullSafe(F.col("right_source")), how).drop("right_source")
 
 
-with_plan = joined
-
-
 def copies(lot: Column) -> Column:
     """How often a document with this lot is taken, beside the columns of its source's row of ``plan``."""
     q = rank_number(lot, F.col("p"))
@@ -193,7 +190,7 @@ def mix(
     table gives no rows. Other columns are not read.
     """
     sizes = written(document_sizes(docs, key, text, source, seed), "sizes")
-    planned = written(plan(sizes, seed, weights, most), "plan")
+    planned = written(plan(sizes, weights, most), "plan")
     return joined(sizes, planned).select(
         "doc_id", "source", "size", "source_size", "target",
         copies(F.col("lot")).alias("copies"),
@@ -212,7 +209,7 @@ def mixed(
 ) -> DataFrame:
     """The rows of ``docs`` as often as ``mix`` takes them, all columns kept; decisions are made in place."""
     sizes = written(document_sizes(docs, key, text, source, seed), "sizes")
-    planned = written(plan(sizes, seed, weights, most), "plan")
+    planned = written(plan(sizes, weights, most), "plan")
     packed = docs.select(
         F.struct(*docs.columns).alias("doc"),
         F.col(source).cast("string").alias("source"),
