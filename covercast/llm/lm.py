@@ -82,9 +82,21 @@ class Vocabulary:
 
 
 def vocabulary(counts: DataFrame, shape: gru.Shape, known: int = KNOWN) -> Vocabulary:
-    """From (h, k, n): at most ``known`` rows and one sum per rare class reach the driver."""
+    """From (h, k, n): at most ``known`` rows, and one sum per rare class and per step of counts, reach the driver.
+
+    Counts are stepped on a logarithmic scale; the words of the highest steps that fit are known.
+    """
     tokens, distinct = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    top = counts.orderBy((F.col("h") == END_HASH).desc(), F.col("n").desc(), "h").limit(known).collect()
+    step = F.floor(F.log2(F.col("n").cast("double")) * 64)
+    steps = counts.filter(F.col("h") != END_HASH).groupBy(step.alias("step")).count().collect()
+    room, lowest = known - 1, float("inf")
+    for at, n in sorted(((r["step"], r["count"]) for r in steps), reverse=True):
+        room -= n
+        if room < 0:
+            break
+        lowest = at
+    top = counts.filter((F.col("h") == END_HASH) | (step >= F.lit(float(lowest)))).collect()
+    top.sort(key=lambda r: (r["h"] != END_HASH, -r["n"], r["h"]))
     by_class = np.zeros(shape.rare)
     for r in counts.groupBy("k").agg(F.sum(F.col("n") + 1).alias("n")).collect():
         by_class[r["k"]] = r["n"]
