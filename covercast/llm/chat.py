@@ -2,7 +2,7 @@
 
 The states are the roles; a line shows a speaker marker (a role name, one of its usual synonyms, or none), its length, how it
 ends, and its first sign. Start, transition and emission probabilities are counted on the lines whose marker is known.
-Viterbi decoding gives each line its role; markers weigh heavily but not absolutely, and lines without one take the
+Viterbi decoding gives each line its role: a marker fixes it, and lines without one take the
 role that fits their neighbours and their looks. Consecutive rows stay separate turns.
 
 A conversation is decoded in blocks of ``BLOCK`` turn numbers. Each block is decoded for every role before it and every last
@@ -31,8 +31,8 @@ SYNONYMS = {
 }
 MARKER = r"(?i)^[\s#*>\[<|]*(?:im_start\|>)?\s*([a-z]+)\s*[\]*|>]*\s*(?::|\|>|\]|\n)\s*"
 BLOCK = 256
-#: Weight of the counts of a smoothed probability, and the share of markers that may be wrong.
-SMOOTH, WRONG = 1.0, 0.02
+#: Weight of the counts of a smoothed probability.
+SMOOTH = 1.0
 #: Feature values: marker (none or a role), length, ending, first sign.
 LENGTHS, ENDINGS, SIGNS = 8, 4, 4
 FEATURES = (LENGTHS, ENDINGS, SIGNS)
@@ -152,8 +152,8 @@ class Model:
         self.start = np.log(start / start.sum())
         self.move = np.log(move / move.sum(axis=1, keepdims=True))
         self.shows = [np.log(t / t.sum(axis=1, keepdims=True)) for t in shows]
-        marker = np.full((K, K + 1), np.log(WRONG / (K - 1)))
-        marker[np.arange(K), np.arange(K)] = np.log(1 - WRONG)
+        marker = np.full((K, K + 1), -np.inf)
+        marker[np.arange(K), np.arange(K)] = 0.0
         marker[:, K] = 0.0
         self.marker = marker
 

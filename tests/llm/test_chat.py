@@ -3,6 +3,7 @@
 import itertools
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from covercast.llm import chat
@@ -86,3 +87,13 @@ def test_query_covers_all_turns_and_keeps_known_roles(spark):
     hidden = turns.withColumn("role", F.when(F.pmod(F.xxhash64("conv_id", "turn"), F.lit(10)) >= 3, F.col("role")))
     guessed = [r for r in chat.recover(hidden).collect() if r.marker is None]
     assert np.mean([r.role == truth[r.conv_id, r.turn] for r in guessed]) > 0.95
+
+
+@pytest.mark.parametrize("size", [20, 2000])
+def test_known_roles_stay_when_a_speaker_repeats(spark, size):
+    rows = [(c, t, ("user", "assistant")[t % 2], f"text {t}.", 1) for c in range(size) for t in range(6)]
+    odd = [["user", "user"], ["user", "user", "assistant"], ["user", "assistant", "assistant"], ["user", "user", "user"]]
+    rows += [(-1 - i, t, r, "text.", 1) for i, roles in enumerate(odd) for t, r in enumerate(roles)]
+    table = spark.createDataFrame(rows, SCHEMA)
+    found = {(r.conv_id, r.turn): r.role for r in chat.recover(table).collect()}
+    assert found == {(c, t): r for c, t, r, _, _ in rows}
