@@ -2,8 +2,9 @@
 
 The states are the roles; a line shows a speaker marker (a role name, one of its usual synonyms, or none), its length, how it
 ends, and its first sign. Start, transition and emission probabilities are counted on the lines whose marker is known.
-Viterbi decoding gives each line its role: a marker fixes it, and lines without one take the
-role that fits their neighbours and their looks. Consecutive rows stay separate turns.
+Viterbi decoding gives each line its role: a marker fixes it, and lines without one take the role that fits their
+neighbours and their looks. Rows that are turns stay separate turns (``recover``). In a transcript (``recover_lines``) a line
+without a marker goes on with the turn before it or, rarely, opens a turn whose marker is missing.
 
 A conversation is decoded in blocks of ``BLOCK`` turn numbers. Each block is decoded for every role before it and every last
 role, so blocks are independent; the best chain of blocks needs nine numbers per block. So no task holds
@@ -16,7 +17,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from covercast.llm.storage import importable, written
@@ -31,8 +32,10 @@ SYNONYMS = {
 }
 MARKER = r"(?i)^[\s#*>\[<|]*(?:im_start\|>)?\s*([a-z]+)\s*[\]*|>]*\s*(?::|\|>|\]|\n)\s*"
 BLOCK = 256
-#: Weight of the counts of a smoothed probability.
-SMOOTH = 1.0
+#: Weight of the counts of a smoothed probability, and the share of turns in a transcript whose marker may be missing.
+SMOOTH, MISSING = 1.0, 0.02
+#: Ends of lines as ``^`` sees them.
+LINE_ENDS = r"(?<=[\n\u0085\u2028\u2029]|\r(?!\n))"
 #: Feature values: marker (none or a role), length, ending, first sign.
 LENGTHS, ENDINGS, SIGNS = 8, 4, 4
 FEATURES = (LENGTHS, ENDINGS, SIGNS)
@@ -66,6 +69,56 @@ def marked_lines(transcripts: DataFrame, key: str = "conv_id", text: str = "text
     )
 
 
+def _like_marker() -> str:
+    """Pattern of the start of a line that a parser could take for a marker or a part of one."""
+    names = "|".join(sorted(n for s in SYNONYMS.values() for n in s.split()))
+    return rf"[\s#*>\[<|]*(?:im_start\|>)?\s*(?:(?:{names})\b|$)"
+
+
+def transcripts(
+    turns: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
+) -> DataFrame:
+    """(place, text): the transcript of each conversation, a row per block of ``BLOCK`` turn numbers.
+
+    A turn is written as ``role: text`` and ends its line; without a known role it is its text alone. Lines of a text that look
+    like markers get a backslash. Order and nulls as in ``recover``.
+    """
+    clean = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    lines = F.transform(
+        F.split(clean, LINE_ENDS, -1), lambda x: F.when(x.rlike(rf"(?i)^\\*{_like_marker()}"), F.concat(F.lit("\\"), x)).otherwise(x)
+    )
+    known = role_of(F.col(role).cast("string"))
+    name = F.element_at(F.array(*[F.lit(r) for r in ROLES]), known + 1)
+    marker = F.when(known.isNotNull(), F.concat(name, F.lit(": "))).otherwise(F.lit(""))
+    said = F.concat(marker, F.array_join(lines, ""), F.lit("\n"))
+    number = F.col(turn).cast("bigint")
+    place = F.struct(
+        F.col(key).cast("bigint").alias("conv_id"), F.floor(F.coalesce(number, F.lit(0)) / BLOCK).cast("bigint").alias("block")
+    )
+    row = F.struct(number.alias("turn"), known.alias("marker"), said.alias("said"))
+    rows = turns.select(place.alias("place"), row.alias("row")).groupBy("place").agg(F.sort_array(F.collect_list("row")).alias("rows"))
+    return rows.select("place", F.array_join("rows.said", "").alias("text"))
+
+
+def observed_lines(transcripts: DataFrame) -> DataFrame:
+    """The lines of transcripts (place, text), shaped as by ``observed``; ``turn`` numbers the lines of a block in order."""
+    parts = marked_lines(transcripts, "place").select(
+        F.col("conv_id").alias("place"), "turn", role_of(F.col("role")).alias("marker"), F.posexplode(F.split("text", LINE_ENDS, -1)).alias("at", "line")
+    )
+    line = F.when(F.col("line").rlike(rf"(?i)^\\+{_like_marker()}"), F.substring("line", 2, 2**31 - 1)).otherwise(F.col("line"))
+    length, ending, sign = looks(F.btrim(line, F.lit(" \t\r\n")))
+    return parts.select(
+        F.col("place.conv_id").alias("conv_id"),
+        F.col("place.block").alias("block"),
+        (F.shiftleft("turn", 32) + F.col("at")).alias("turn"),
+        F.when(F.col("at") == 0, F.col("marker")).alias("marker"),
+        length.alias("f0"),
+        ending.alias("f1"),
+        sign.alias("f2"),
+        line.alias("text"),
+    )
+
+
 def looks(text: Column) -> list[Column]:
     """Length on a doubling scale, how the text ends, and its first sign, as small numbers."""
     size = F.length(text)
@@ -113,8 +166,9 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[np.ndarray]:
         yield rest
 
 
-def _count_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts (kind, a, b): -1 start, -2 transition, else emission of feature ``kind``; over rows with a marker."""
+def _count_partition(batches: Iterator[pa.RecordBatch], lines: bool) -> Iterator[pa.RecordBatch]:
+    """Counts (kind, a, b): -1 start, -2 transition, -3 lines that open (0) or go on with (1) a turn, else emission of feature
+    ``kind``; over rows with a marker, and lines that follow one."""
     counts: dict[tuple[int, int, int], int] = {}
 
     def add(kind: int, a: np.ndarray, b: np.ndarray) -> None:
@@ -126,9 +180,19 @@ def _count_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         known = m >= 0
         if known[0] and run[0, 1] <= 0:
             add(-1, np.zeros(1, np.int64), m[:1])
-        both = known[1:] & known[:-1]
-        if both.any():
-            add(-2, m[:-1][both], m[1:][both])
+        if lines:
+            opened, spoken = known, m[known]
+            last = np.maximum.accumulate(np.where(known, np.arange(len(m)), -1))
+            m = np.where(last >= 0, m[last], -1)
+            known = m >= 0
+            if known.any():
+                add(-3, m[known], (~opened[known]).astype(np.int64))
+            if len(spoken) > 1:
+                add(-2, spoken[:-1], spoken[1:])
+        else:
+            both = known[1:] & known[:-1]
+            if both.any():
+                add(-2, m[:-1][both], m[1:][both])
         for f in range(len(FEATURES)):
             if known.any():
                 add(f, m[known], run[known, 4 + f])
@@ -141,16 +205,22 @@ def _count_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 class Model:
-    """Log-probabilities of starts, transitions, markers and looks, from smoothed counts."""
+    """Log-probabilities of starts, transitions, markers and looks, from smoothed counts.
+
+    ``move`` leads to a row that is a turn, or to a marked line; ``go_on`` to a line without a marker.
+    """
 
-    def __init__(self, counts: list[tuple[int, int, int, int]]):
-        start, move = np.full(K, SMOOTH), np.full((K, K), SMOOTH)
+    def __init__(self, counts: list[tuple[int, int, int, int]], lines: bool = False):
+        start, move, length = np.full(K, SMOOTH), np.full((K, K), SMOOTH), np.full((K, 2), SMOOTH)
         shows = [np.full((K, size), SMOOTH) for size in FEATURES]
         for kind, a, b, n in counts:
-            table = start[None] if kind == -1 else move if kind == -2 else shows[kind]
+            table = start[None] if kind == -1 else move if kind == -2 else length if kind == -3 else shows[kind]
             table[a, b] += n
         self.start = np.log(start / start.sum())
-        self.move = np.log(move / move.sum(axis=1, keepdims=True))
+        move = move / move.sum(axis=1, keepdims=True)
+        ends, stays = (length / length.sum(axis=1, keepdims=True)).T[:, :, None]
+        self.move = np.log(ends * (1 - MISSING) * move if lines else move)
+        self.go_on = np.log(ends * MISSING * move + stays * np.eye(K)) if lines else self.move
         self.shows = [np.log(t / t.sum(axis=1, keepdims=True)) for t in shows]
         marker = np.full((K, K + 1), -np.inf)
         marker[np.arange(K), np.arange(K)] = 0.0
@@ -170,12 +240,12 @@ def decode(model: Model, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
     Returns the best log-probabilities (K + 1, K) and the roles (rows, K + 1, K). Ties go to the earlier role.
     """
-    shown = model.emissions(run)
+    shown, unmarked = model.emissions(run), run[:, 3] < 0
     entries = np.concatenate([model.move, model.start[None]])
     best = entries + shown[0]
     back = np.empty((len(run), K + 1, K), np.int8)
     for t in range(1, len(run)):
-        options = best[:, :, None] + model.move[None]
+        options = best[:, :, None] + (model.go_on if unmarked[t] else model.move)[None]
         back[t] = options.argmax(axis=1)
         best = options.max(axis=1) + shown[t]
     roles = np.empty((len(run), K + 1, K), np.int8)
@@ -187,9 +257,9 @@ def decode(model: Model, run: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return best, roles
 
 
-def _decode_partition(batches: Iterator[pa.RecordBatch], counts: list) -> Iterator[pa.RecordBatch]:
+def _decode_partition(batches: Iterator[pa.RecordBatch], counts: list, lines: bool) -> Iterator[pa.RecordBatch]:
     """Rows (conv_id, block, marker, f0, f1, f2, turn, text) with every choice of roles, and the block's scores."""
-    model = Model(counts)
+    model = Model(counts, lines)
     held: list[pa.RecordBatch] = []
 
     def feed() -> Iterator[pa.RecordBatch]:
@@ -256,32 +326,24 @@ def _chain_partition(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
         yield chained(conv, blocks)
 
 
-def recover(
-    turns: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
-) -> DataFrame:
-    """conv_id, turn, marker, role and rendered turn of every row of ``turns``.
-
-    A role name that is no speaker's, or null, is a missing marker. Null texts count as empty; null turn numbers come first,
-    in the block of turn 0; ties are ordered by marker, then text; repeated rows are turns of their own; rows with a
-    null conversation form one. An empty table gives no rows. Other columns are not read.
-    """
-    importable(turns.sparkSession)
-    rows = in_blocks(observed(turns, key, turn, role, text))
+def decoded(rows: DataFrame, lines: bool) -> DataFrame:
+    """conv_id, block, turn, marker, role and text of every observed row."""
+    rows = in_blocks(rows)
     seen = rows.select("conv_id", "block", "marker", "f0", "f1", "f2")
-    counts = seen.mapInArrow(_count_partition, "kind int, a int, b int, n bigint")
+    counts = seen.mapInArrow(lambda it: _count_partition(it, lines), "kind int, a int, b int, n bigint")
     counts = counts.groupBy("kind", "a", "b").agg(F.sum("n").alias("n")).orderBy("kind", "a", "b").collect()
     counts = [tuple(r) for r in counts]
-    decoded = rows.select("conv_id", "block", "marker", "f0", "f1", "f2", "turn", "text").mapInArrow(
-        lambda it: _decode_partition(it, counts),
+    choices = rows.select("conv_id", "block", "marker", "f0", "f1", "f2", "turn", "text").mapInArrow(
+        lambda it: _decode_partition(it, counts, lines),
         "conv_id bigint, block bigint, marker int, turn bigint, text string, choices binary, scores binary",
     )
-    decoded = written(decoded, "decoded")
-    blocks = decoded.groupBy("conv_id", "block").agg(F.min("scores").alias("scores"))
+    choices = written(choices, "decoded")
+    blocks = choices.groupBy("conv_id", "block").agg(F.min("scores").alias("scores"))
     order = [F.col("conv_id").asc_nulls_first(), F.col("block")]
     chains = blocks.repartition("conv_id").sortWithinPartitions(*order).mapInArrow(
         _chain_partition, "chain_conv bigint, chain_block bigint, choice int"
     )
-    chosen = decoded.join(
+    chosen = choices.join(
         chains, F.col("conv_id").eqNullSafe(F.col("chain_conv")) & (F.col("block") == F.col("chain_block"))
     )
     number = F.conv(F.hex(F.substring("choices", F.col("choice") + 1, F.lit(1))), 16, 10).cast("int")
@@ -289,10 +351,55 @@ def recover(
     found = F.element_at(names, number + 1)
     return chosen.select(
         "conv_id",
+        "block",
         "turn",
         F.when(F.col("marker").isNotNull(), F.element_at(names, F.col("marker") + 1)).alias("marker"),
-        found.alias("role"),
-        rendered(found, F.col("text")).alias("rendered"),
+        F.element_at(names, number + 1).alias("role"),
+        "text",
+    )
+
+
+def recover(
+    turns: DataFrame, key: str = "conv_id", turn: str = "turn", role: str = "role", text: str = "text"
+) -> DataFrame:
+    """conv_id, turn, marker, role and rendered turn of every row of ``turns``.
+
+    A role name that is no speaker's, or null, is a missing marker. Null texts count as empty; null turn numbers come first,
+    in the block of turn 0; ties are ordered by marker, then text; repeated rows are turns of their own; rows with a
+    null conversation form one. An empty table gives no rows. Other columns are not read.
+    """
+    importable(turns.sparkSession)
+    found = decoded(observed(turns, key, turn, role, text), lines=False)
+    return found.select("conv_id", "turn", "marker", "role", rendered(F.col("role"), F.col("text")).alias("rendered"))
+
+
+def recover_lines(transcripts: DataFrame) -> DataFrame:
+    """conv_id, turn, marker, role and rendered turn of every turn in transcripts (place, text) as of ``transcripts``.
+
+    A turn starts with a block, at a marker, and where the recovered role changes; ``turn`` counts the turns of a conversation
+    from 0. Turns without a marker that do not change the role are lines of the turn before them.
+    """
+    importable(transcripts.sparkSession)
+    lines = decoded(observed_lines(transcripts), lines=True)
+    block = Window.partitionBy("conv_id", "block").orderBy("turn")
+    opens = F.col("marker").isNotNull() | F.coalesce(F.lag("role").over(block) != F.col("role"), F.lit(True))
+    lines = lines.withColumn("opens", opens.cast("bigint")).withColumn("at", F.sum("opens").over(block))
+    said = F.sort_array(F.collect_list(F.struct("turn", "text")))
+    turns = lines.groupBy("conv_id", "block", "at").agg(
+        F.min_by("marker", "turn").alias("marker"), F.first("role").alias("role"), said.alias("said")
+    )
+    # A conversation has one row per block here.
+    before = Window.partitionBy("conv_id").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    earlier = turns.groupBy("conv_id", "block").agg(F.count("*").alias("n")).select(
+        F.col("conv_id").alias("of_conv"), F.col("block").alias("of_block"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("earlier")
+    )
+    numbered = turns.join(earlier, F.col("conv_id").eqNullSafe(F.col("of_conv")) & (F.col("block") == F.col("of_block")))
+    return numbered.select(
+        "conv_id",
+        (F.col("earlier") + F.col("at") - 1).alias("turn"),
+        "marker",
+        "role",
+        rendered(F.col("role"), F.array_join("said.text", "")).alias("rendered"),
     )
 
 

@@ -127,7 +127,7 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chat.recover(_table(spark, sf_dir, "conversations"))
+    return chat.recover_lines(chat.transcripts(_table(spark, sf_dir, "conversations")))
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -89,11 +89,37 @@ def test_query_covers_all_turns_and_keeps_known_roles(spark):
     assert np.mean([r.role == truth[r.conv_id, r.turn] for r in guessed]) > 0.95
 
 
+def test_query_reads_transcripts_not_the_role_column(spark, tmp_path, monkeypatch):
+    texts = ["hi\nUser: quoted\n***", "\\you said\r\nso", "", "a: b\n\nlast"]
+    rows = [(c, t, ("Human", "bot")[t % 2], texts[t % 4], 1) for c in range(3) for t in range(7)]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/conversations.parquet")
+    written = chat.transcripts(spark.read.parquet(f"{tmp_path}/conversations.parquet"))
+    assert written.columns == ["place", "text"] and written.first().text.startswith("user: hi\n\\User: quoted\n")
+    monkeypatch.setattr(chat, "recover", None)
+    monkeypatch.setattr(chat, "BLOCK", 4)
+    found = QUERIES["op9_chat"](spark, str(tmp_path)).collect()
+    assert sorted((r.conv_id, r.turn, r.rendered) for r in found) == [
+        (c, t, f"<|{('user', 'assistant')[t % 2]}|>\n{x.strip()}\n<|end|>\n") for c, t, _, x, _ in rows
+    ]
+
+
+def test_lines_of_a_transcript_with_missing_markers(spark):
+    asked, said = "What is it about?", "- The answer is long. " * 9 + "\n- And it goes on: " + "more words. " * 9
+    whole = [(c, t, ("user", "assistant")[t % 2], (asked, said)[t % 2], 1) for c in range(60) for t in range(6)]
+    rows = [(c, t, None if c % 10 == 3 and t == 3 else r, x, b) for c, t, r, x, b in whole]
+    found = chat.recover_lines(chat.transcripts(spark.createDataFrame(rows, SCHEMA))).collect()
+    assert sum(r.marker is None for r in found) == 6
+    assert sorted((r.conv_id, r.turn, r.role, r.rendered) for r in found) == [
+        (c, t, r, f"<|{r}|>\n{x.strip()}\n<|end|>\n") for c, t, r, x, _ in whole
+    ]
+
+
 @pytest.mark.parametrize("size", [20, 2000])
 def test_known_roles_stay_when_a_speaker_repeats(spark, size):
     rows = [(c, t, ("user", "assistant")[t % 2], f"text {t}.", 1) for c in range(size) for t in range(6)]
     odd = [["user", "user"], ["user", "user", "assistant"], ["user", "assistant", "assistant"], ["user", "user", "user"]]
     rows += [(-1 - i, t, r, "text.", 1) for i, roles in enumerate(odd) for t, r in enumerate(roles)]
     table = spark.createDataFrame(rows, SCHEMA)
-    found = {(r.conv_id, r.turn): r.role for r in chat.recover(table).collect()}
-    assert found == {(c, t): r for c, t, r, _, _ in rows}
+    for found in (chat.recover(table), chat.recover_lines(chat.transcripts(table))):
+        found = {(r.conv_id, r.turn): r.role for r in found.collect()}
+        assert found == {(c, t): r for c, t, r, _, _ in rows}
