@@ -245,15 +245,15 @@ class Adam:
 def train(w: Weights, shape: Shape, docs: list[np.ndarray], rate: float, every: int, phase: int) -> int:
     """One pass over the documents, changing ``w``: windows ``phase, phase + every, ...`` of the streams are learnt from.
 
-    The state of a learnt window comes from the ``every - 1`` windows before only as far as its own first step: each
-    starts from the state carried through one window before it. Returns the number of ids learnt from.
+    With ``every`` 1 each window starts from the state after the one before it; otherwise from the state carried through one
+    window before it. Returns the number of ids learnt from.
     """
     if not docs:
         return 0
     ids, _ = streams(docs, shape.lanes)
     starts = list(range(phase * shape.steps, len(ids), every * shape.steps)) or [0]
     optimizer = Adam(rate, len(starts))
-    learnt = 0
+    learnt, carried = 0, np.zeros((ids.shape[1], shape.hidden), np.float32)
     for t in starts:
         window = ids[t : t + shape.steps]
         live = window[0] >= 0
@@ -262,12 +262,14 @@ def train(w: Weights, shape: Shape, docs: list[np.ndarray], rate: float, every:
         window = window[:, live]
         state = np.zeros((window.shape[1], shape.hidden), np.float32)
         last = np.full((1, window.shape[1]), END, np.int32)
-        if t:
+        if t and every == 1:
+            state, last = carried[live], ids[t - 1][None, live]
+        elif t:
             prior = ids[max(0, t - shape.steps) : t][:, live]
             lead = np.concatenate([np.full_like(prior[:1], END) if t <= shape.steps else ids[t - shape.steps - 1][None, live], prior[:-1]])
             _, state, _ = forward(w, lead, state)
             last = prior[-1:]
-        _, g, _ = gradient(w, shape, np.concatenate([last, window[:-1]]), window, state)
+        _, g, carried[live] = gradient(w, shape, np.concatenate([last, window[:-1]]), window, state)
         optimizer.step(w, g)
         learnt += int((window >= 0).sum())
     return learnt

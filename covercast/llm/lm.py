@@ -26,8 +26,8 @@ from covercast.llm.wordhash import LOWER, SPACE, mixed, word_hashes
 #: Words whose counts are broadcast: 24 bytes each.
 KNOWN = 131_072
 END_HASH = 0
-#: Part of the windows that each round learns from, and the rounds' step sizes.
-EVERY, RATES = 20, (0.02, 0.01)
+#: Each round learns from every window; the rounds' step sizes.
+EVERY, RATES = 1, (0.02, 0.01)
 CHUNK = 4096
 #: Ids that are dealt over lanes at once.
 BATCH_IDS = 2_000_000

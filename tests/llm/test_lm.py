@@ -57,6 +57,12 @@ def test_learning_helps():
     assert gru.score(w, SMALL, docs).sum() > 0.4 * first > first
 
 
+def test_every_window_of_the_training_documents_is_learnt_from():
+    docs = [np.append(np.arange(n) % 7 + 1, 0).astype(np.int16) for n in (3, 40, 200, 1, 77)]
+    for rate, phase in zip(lm.RATES, (turn * lm.EVERY // len(lm.RATES) for turn in range(len(lm.RATES)))):
+        assert gru.train(gru.start_weights(SMALL, np.ones(10)), SMALL, docs, rate, lm.EVERY, phase) == sum(map(len, docs))
+
+
 def tokens(text):
     return [*(text or "").encode().lower().split(), None]
 
