@@ -59,8 +59,10 @@ MOST_LINKS = 0.5
 MARK = re.compile(
     r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
 )
-ATTRIBUTE = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))|\b(hidden)\b", re.I)
-TOKEN = re.compile(r"[a-z]+")
+ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
+PART = re.compile(r"[-_]+")
+#: Elements that hold the page or its article: names do not set them apart.
+HOLDERS = frozenset("html body main article".split())
 
 
 @dataclass
@@ -75,21 +77,29 @@ class Block:
     label: str = "open"
 
 
-def marked_outside(tag: str, attributes: str, inside: bool) -> bool:
-    """Whether a tag opens a part that is not the article's text."""
+def marked_outside(tag: str, attributes: str, inside: bool, by_name: bool = True) -> bool:
+    """Whether a tag opens a part that is not the article's text: by itself, as hidden, or by a class, id or role.
+
+    A class or id counts as a whole word, or if each of its parts between hyphens is a name. Without ``by_name``
+    names count inside an article only.
+    """
     if tag in OUTSIDE_TAGS and not (inside and tag == "header"):
         return True
-    for kind, *values, hidden in ATTRIBUTE.findall(attributes) if attributes else ():
-        if hidden:
-            return True
-        tokens = set(TOKEN.findall("".join(values).lower()))
-        names = OUTSIDE_ROLES if kind.lower() == "role" else OUTSIDE_NAMES
-        if tokens & (names - HEADING_NAMES if inside else names):
+    for kind, *values in ATTRIBUTE.findall(attributes) if attributes else ():
+        kind = kind.lower()
+        if kind == "hidden":
             return True
+        if kind not in ("class", "id", "role") or tag in HOLDERS or not (inside or by_name):
+            continue
+        names = OUTSIDE_ROLES if kind == "role" else OUTSIDE_NAMES
+        names = names - HEADING_NAMES if inside else names
+        for word in "".join(values).lower().split():
+            if word in names or all(part in names for part in PART.split(word)):
+                return True
     return False
 
 
-def blocks(page: str) -> list[Block]:
+def blocks(page: str, by_name: bool = True) -> list[Block]:
     """The blocks of a page in order, white space collapsed, character references decoded."""
     found: list[Block] = []
     open_tags: list[tuple[str, bool, bool, int]] = []  # tag, outside, inside, section
@@ -160,7 +170,7 @@ def blocks(page: str) -> list[Block]:
         elif tag == "a":
             continue
         outside, inside, section = state()
-        outside = outside or marked_outside(tag, m[3], inside)
+        outside = outside or marked_outside(tag, m[3], inside, by_name)
         if tag in ("article", "main") and not outside:
             sections += 1
             inside, section = True, sections
@@ -187,8 +197,18 @@ def first_pass(block: Block, marked: bool) -> str:
 
 
 def classify(page: str) -> list[Block]:
-    """The blocks of a page, each labelled text or other."""
-    found = blocks(page)
+    """The blocks of a page, each labelled text or other.
+
+    Where all text stands in wrappers that only their names set apart, those keep it.
+    """
+    found = labelled(blocks(page))
+    if any(b.label == "text" for b in found) or not any(b.outside for b in found):
+        return found
+    again = labelled(blocks(page, by_name=False))
+    return again if any(b.label == "text" for b in again) else found
+
+
+def labelled(found: list[Block]) -> list[Block]:
     marked = any(b.inside and not b.outside for b in found)
     for b in found:
         b.label = first_pass(b, marked)

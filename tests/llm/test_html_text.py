@@ -41,6 +41,25 @@ def test_words_alone_do_not_reject_an_article():
     assert text(f"<div><p>{odd}</p></div>") == ""
 
 
+@pytest.mark.parametrize(
+    "wrapper",
+    [
+        "div style='overflow:hidden'", "div aria-hidden='false'", "body class='has-sidebar'", "body class='no-sidebar'", "div data-id='search'",
+        "div class='share-layout'", "div id='search-results'", "main class='search'", "div class='widget'", "section id='related'",
+    ],
+)
+def test_wrappers_of_the_article_keep_it(wrapper):
+    tag = wrapper.split()[0]
+    assert html_text.main_text(f"<html><{wrapper}><article class='ad-free'><p>{LONG}</p></article></{tag}></html>") == LONG.strip()
+    assert html_text.main_text(f"<html><{wrapper}><p>{LONG}</p></{tag}></html>") == LONG.strip()
+
+
+@pytest.mark.parametrize("wrapper", ["div hidden", "div hidden=''", "div class='x ad'", "div id=cookie-notice", "div role='search'"])
+def test_marked_parts_beside_the_text_stay_out(wrapper):
+    assert text(f"<p>{LONG}</p><{wrapper}><p>{LONG}</p></div>") == LONG.strip()
+    assert text(f"<article><p>{LONG}</p><{wrapper}><p>{LONG}</p></div></article>") == LONG.strip()
+
+
 @pytest.mark.parametrize("page", ["", "<", "<p", "<!--", "a<b>c", "<script>never closed", "</p></div>", "<a" * 500, "&am", "\x00"])
 def test_broken_pages_do_not_crash(page):
     html_text.main_text(page)
