@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covercast.llm import balltree, bpe, chat, digest, html_text, lm, minhash, mixing, quality, token_files
+from covercast.llm import balltree, benchmark_scan, bpe, chat, digest, html_text, lm, minhash, mixing, quality, token_files
 from covercast.llm.storage import fresh_path
 
 
@@ -140,6 +140,47 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = benchmark_scan.scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    n_hit = F.reduce("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["last_word"] - s["first_word"] + 1)
+    return found.select(
+        "doc_id",
+        "n_words",
+        n_hit.alias("n_hit"),
+        F.size("items").cast("bigint").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"),
+    )
+
+
+OP12_SQL = r"""
+WITH items AS (
+    SELECT coalesce(item_id::VARCHAR, '') AS item,
+        regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+    FROM benchmark WHERE text IS NOT NULL
+), windows AS (
+    SELECT DISTINCT item, least(len(w), 10) AS n, array_to_string(w[i:i + least(len(w), 10) - 1], ' ') AS pattern
+    FROM (SELECT item, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM items WHERE len(w) > 0)
+), docs AS (
+    SELECT row_number() OVER () AS r, doc_id, coalesce(
+        regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+'), []) AS w
+    FROM documents
+), grams AS (
+    SELECT r, i, n, array_to_string(w[i:i + n - 1], ' ') AS pattern
+    FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM docs, (SELECT DISTINCT n FROM windows))
+), found AS (
+    SELECT DISTINCT r, i, n, item FROM grams JOIN windows USING (pattern, n)
+), hits AS (
+    SELECT r, count(DISTINCT k) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS k FROM found) GROUP BY r
+), named AS (
+    SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids FROM (SELECT DISTINCT r, item FROM found) GROUP BY r
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+    sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
+"""
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_token_files": op2_token_files,
@@ -151,6 +192,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_chat": op9_chat,
     "op10_bpe": op10_bpe,
+    "op12_decontamination": op12_decontamination,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_balltree": OP6_SQL, "op7_mixing": OP7_SQL}
+ORACLE_SQL: dict[str, str] = {"op6_balltree": OP6_SQL, "op7_mixing": OP7_SQL, "op12_decontamination": OP12_SQL}
