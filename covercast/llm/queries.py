@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import zlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covercast.llm import balltree, benchmark_scan, bpe, chat, digest, html_text, lm, minhash, mixing, quality, token_files
+from covercast.llm import balltree, benchmark_scan, bpe, chat, digest, html_text, lm, minhash, mixing, quality, runs, token_files
 from covercast.llm.storage import fresh_path
 
 
@@ -181,6 +183,38 @@ FROM docs LEFT JOIN hits USING (r) LEFT JOIN named USING (r)
 """
 
 
+def repeating(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words that are looked at for runs: a tenth of the documents, by their number, repeat a stretch to their end."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if doc_id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return words[:a] + (words[a : a + p] * -(-(n - a) // p))[: n - a]
+
+
+def op13_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = runs.detect(_table(spark, sf_dir, "documents"), rewrite=repeating)
+    ordered = F.transform("runs", lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("before"), (-r["period"]).alias("finer"), r["start"].alias("start"), r["period"].alias("period")))
+    longest = F.array_max(ordered)
+    named = found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("longest.start").alias("start"),
+        F.col("longest.length").alias("length"),
+        F.col("longest.period").alias("period"),
+        F.array_join(F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n"))), "").alias("lines"),
+        "collapsed",
+    )
+    return named.select(
+        *named.columns[:5],
+        F.expr("1000 * length div period").alias("exponent_milli"),
+        F.sha2(F.encode("lines", "UTF-8"), 256).alias("runs_sha256"),
+        F.sha2(F.encode("collapsed", "UTF-8"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES = {
     "op1_html_text": op1_html_text,
     "op2_token_files": op2_token_files,
@@ -193,6 +227,7 @@ QUERIES = {
     "op9_chat": op9_chat,
     "op10_bpe": op10_bpe,
     "op12_decontamination": op12_decontamination,
+    "op13_runs": op13_runs,
 }
 
 ORACLE_SQL: dict[str, str] = {"op6_balltree": OP6_SQL, "op7_mixing": OP7_SQL, "op12_decontamination": OP12_SQL}
