@@ -7,7 +7,7 @@ import zlib
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covercast.llm import balltree, benchmark_scan, bpe, chat, digest, html_text, lm, minhash, mixing, quality, runs, token_files
+from covercast.llm import balltree, benchmark_scan, bpe, chat, digest, gnat, html_text, lm, minhash, mixing, quality, runs, token_files
 from covercast.llm.storage import fresh_path
 
 
@@ -142,6 +142,36 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return gnat.hard_negatives(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0, label=label)
+
+
+OP11_SQL = """
+WITH valid AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), anchors AS (
+    SELECT row_number() OVER () AS a, * FROM (SELECT DISTINCT vec_id, label, v FROM valid WHERE vec_id % 100 = 0)
+), scored AS (
+    SELECT a, q.vec_id AS anchor_id, c.vec_id, q.label = c.label AS same,
+        list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM anchors q JOIN valid c ON q.vec_id <> c.vec_id AND len(q.v) = len(c.v)
+), positives AS (
+    SELECT *, row_number() OVER (PARTITION BY a ORDER BY score DESC, vec_id) AS p FROM scored WHERE same
+    QUALIFY p <= 5
+)
+SELECT s.anchor_id, p.vec_id AS positive_id, row_number() OVER (PARTITION BY s.a, p.p ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank,
+    s.vec_id AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON p.a = s.a AND NOT s.same
+    AND 30 * p.score <= 100 * s.score AND 100 * s.score <= 90 * p.score
+QUALIFY rank <= 10
+"""
+
+
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = benchmark_scan.scan(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
     n_hit = F.reduce("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["last_word"] - s["first_word"] + 1)
@@ -226,8 +256,14 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_chat": op9_chat,
     "op10_bpe": op10_bpe,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_decontamination": op12_decontamination,
     "op13_runs": op13_runs,
 }
 
-ORACLE_SQL: dict[str, str] = {"op6_balltree": OP6_SQL, "op7_mixing": OP7_SQL, "op12_decontamination": OP12_SQL}
+ORACLE_SQL: dict[str, str] = {
+    "op6_balltree": OP6_SQL,
+    "op7_mixing": OP7_SQL,
+    "op11_hard_negatives": OP11_SQL,
+    "op12_decontamination": OP12_SQL,
+}
