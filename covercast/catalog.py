@@ -223,6 +223,11 @@ def weekday_threshold(src):
     return labels.weekday_threshold(training.quantile_outcomes(src, AS_OF))
 
 
+@_query
+def weekday_threshold_exact(src):
+    return labels.weekday_threshold(training.quantile_outcomes(src, AS_OF), exact=True)
+
+
 @_query
 def label_quantile(src):
     return labels.label_by_quantile(training.quantile_outcomes(src, AS_OF))
@@ -479,6 +484,19 @@ def stratified_split(spark, sf_dir):
 _QUERIES["stratified_split"] = stratified_split
 
 
+def metrics_by_split(spark, sf_dir):
+    judged = evaluate.with_class(stratified_split(spark, sf_dir))
+    return evaluate.metrics_by(judged, "is_validation").withColumn("auc_score", F.round("auc_score", 9))
+
+
+_QUERIES["metrics_by_split"] = metrics_by_split
+
+
+@_scored
+def metrics_by_shift(judged):
+    return evaluate.metrics_by(judged, "persistent_id", "day_of_week").withColumn("auc_score", F.round("auc_score", 9))
+
+
 # --- model --------------------------------------------------------------------------
 
 

@@ -162,68 +162,119 @@ def top_hot_shifts(scored: DataFrame, n: int = 10, keys: Iterable[str] = ("shift
 _CELL_BITS, _BLOCK_BITS = 24, 12
 
 
-def _score_levels(scored: DataFrame) -> DataFrame:
+def _score_levels(scored: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     """Positives and negatives per distinct score, with its place in the range.
 
-    The null tests match those Spark derives where the levels are joined, so
-    that all uses share one scan and shuffle.
+    With ``by`` they are counted per group, one column ``group`` of all its values (so null ones are like others), along with
+    the rows of either class that are predicted hot. The null tests match those Spark derives where the levels are joined,
+    so that all uses share one scan and shuffle.
     """
     label = F.col(LABEL).cast("bigint")
     inside = F.least(F.greatest(F.col(SCORE), F.lit(0.0)), F.lit(1.0))
-    levels = scored.groupBy(SCORE).agg(F.sum(label).alias("pos"), F.sum(1 - label).alias("neg"))
+    sums = {"pos": label, "neg": 1 - label}
+    if by:
+        scored = scored.withColumn("group", F.struct(*by))
+        hot = F.coalesce(F.col(PREDICTED).cast("bigint"), F.lit(0))
+        sums |= {"hits": label * hot, "alarms": (1 - label) * hot}
+    levels = scored.groupBy(*_group(by), SCORE).agg(*[F.sum(x).alias(name) for name, x in sums.items()])
     placed = levels.withColumn("cell", F.floor(inside * (1 << _CELL_BITS))).withColumn(
         "block", F.shiftright("cell", _BLOCK_BITS)
     )
     return placed.filter(F.col("cell").isNotNull() & F.col("block").isNotNull())
 
 
-def _cumulative(scored: DataFrame) -> DataFrame:
-    """Per distinct score: ``tp``/``fp`` counted from the top, and the totals.
+def _group(by: tuple[str, ...]) -> list[str]:
+    return ["group"] if by else []
+
+
+def _cumulative(scored: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
+    """Per distinct score, and group if any: ``tp``/``fp`` counted from the top, and the totals.
 
     Prefix sums in three levels, so no task sorts all scores: blocks of the
-    score range (at most 4097 rows), cells of a block (at most 4096 rows), and
+    score range (at most 4097 rows a group), cells of a block (at most 4096 rows), and
     the distinct scores inside one cell of width 2^-24.
     """
-    levels = _score_levels(scored)
-    sums = [F.sum("pos").alias("pos"), F.sum("neg").alias("neg")]
-    cells = levels.groupBy("block", "cell").agg(*sums)
+    levels, group = _score_levels(scored, by), _group(by)
+    counted = ["pos", "neg", *(["hits", "alarms"] if by else [])]
+    sums = [F.sum(c).alias(c) for c in counted]
+    cells = levels.groupBy(*group, "block", "cell").agg(*sums)
     above = (Window.unboundedPreceding, -1)
-    everything = Window.partitionBy()
+    everything = Window.partitionBy(*group)
     by_block = everything.orderBy(F.desc("block")).rowsBetween(*above)
-    by_cell = Window.partitionBy("block").orderBy(F.desc("cell")).rowsBetween(*above)
+    by_cell = Window.partitionBy(*group, "block").orderBy(F.desc("cell")).rowsBetween(*above)
     by_score = (
-        Window.partitionBy("cell").orderBy(F.desc(SCORE))
+        Window.partitionBy(*group, "cell").orderBy(F.desc(SCORE))
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
 
     def base(column: str, window) -> Column:
         return F.coalesce(F.sum(column).over(window), F.lit(0))
 
-    blocks = cells.groupBy("block").agg(*sums).select(
+    totals = [f"all_{c}" for c in counted]
+    blocks = cells.groupBy(*group, "block").agg(*sums).select(
+        *group,
         "block",
         base("pos", by_block).alias("pos_before_block"),
         base("neg", by_block).alias("neg_before_block"),
-        F.sum("pos").over(everything).alias("all_pos"),
-        F.sum("neg").over(everything).alias("all_neg"),
+        *[F.sum(c).over(everything).alias(f"all_{c}") for c in counted],
     )
-    bases = cells.join(F.broadcast(blocks), "block").select(
+    # One row per block; per block and group there may be any number.
+    bases = cells.join(blocks if by else F.broadcast(blocks), [*group, "block"]).select(
+        *group,
         "cell",
         (F.col("pos_before_block") + base("pos", by_cell)).alias("pos_before"),
         (F.col("neg_before_block") + base("neg", by_cell)).alias("neg_before"),
-        "all_pos",
-        "all_neg",
+        *totals,
     )
-    return levels.drop("block").join(bases, "cell").select(
+    return levels.drop("block").join(bases, [*group, "cell"]).select(
+        *group,
         SCORE,
-        "pos",
-        "neg",
-        "all_pos",
-        "all_neg",
+        *counted,
+        *totals,
         (F.col("pos_before") + F.sum("pos").over(by_score)).alias("tp"),
         (F.col("neg_before") + F.sum("neg").over(by_score)).alias("fp"),
     )
 
 
+def _area() -> Column:
+    """Pairs won, counted from the negatives and from the positives, in shares of all pairs."""
+    by_negative = F.col("neg") * (2.0 * F.col("tp") - F.col("pos"))
+    by_positive = F.col("pos") * (2.0 * (F.col("all_neg") - F.col("fp")) + F.col("neg"))
+    won = (F.sum(by_negative) + F.sum(by_positive)) / 2
+    return F.try_divide(won, 2.0 * F.max("all_pos") * F.max("all_neg"))
+
+
+def metrics_by(scored: DataFrame, *by: str) -> DataFrame:
+    """``classification_metrics`` of every group of ``by``, null values included, from one scan of the rows.
+
+    Rows without a score or a label count nowhere, and a group of such rows has no metrics. Every count is taken from the scores and from the cells and averaged:
+    both are equal, and reading both lets all levels share one scan.
+    """
+
+    def both(column: str) -> Column:
+        return F.expr(f"(sum({column}) + max(all_{column})) div 2")
+
+    known = scored.filter(F.col(SCORE).isNotNull() & F.col(LABEL).isNotNull())
+    rows = _cumulative(known, by).groupBy("group").agg(
+        _area().alias("auc_score"),
+        both("hits").alias("true_positives"),
+        both("alarms").alias("false_positives"),
+        (both("neg") - both("alarms")).alias("true_negatives"),
+        (both("pos") - both("hits")).alias("false_negatives"),
+    )
+    tp, fp = F.col("true_positives"), F.col("false_positives")
+    tn, fn = F.col("true_negatives"), F.col("false_negatives")
+    return rows.select(
+        "group.*",
+        safe_ratio(tp + tn, tp + fp + tn + fn).alias("accuracy"),
+        "auc_score",
+        _or_zero(tp, tp + fp).alias("precision_hot"),
+        _or_zero(tp, tp + fn).alias("recall_hot"),
+        _f1(_or_zero(tp, tp + fp), _or_zero(tp, tp + fn)).alias("f1_score"),
+        *rows.columns[2:],
+    )
+
+
 def roc_auc(scored: DataFrame) -> DataFrame:
     """Area under the ROC curve; ties count half. Null with a single class.
 
@@ -231,14 +282,7 @@ def roc_auc(scored: DataFrame) -> DataFrame:
     averaged: both sums are equal, and reading both keeps every column alive so
     that all levels of the prefix sums share one scan.
     """
-    by_negative = F.col("neg") * (2.0 * F.col("tp") - F.col("pos"))
-    by_positive = F.col("pos") * (2.0 * (F.col("all_neg") - F.col("fp")) + F.col("neg"))
-    return _cumulative(scored).agg(
-        F.try_divide(
-            (F.sum(by_negative) + F.sum(by_positive)) / 2,
-            2.0 * F.max("all_pos") * F.max("all_neg"),
-        ).alias("auc_score")
-    )
+    return _cumulative(scored).agg(_area().alias("auc_score"))
 
 
 def _with_end_point(points: DataFrame, end: dict[str, float | None]) -> DataFrame:

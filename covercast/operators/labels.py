@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from covercast.functions.basic import day, safe_ratio
 from covercast.keys import INSTANCE
+from covercast.operators.quantile import exact_quantile
 
 
 def history_window(df: DataFrame, as_of: dt.date, years: int | None = None, day_col: str = "shift_date") -> DataFrame:
@@ -67,16 +68,22 @@ def final_outcomes(capacity: DataFrame, actual: DataFrame) -> DataFrame:
     return count_copies(merged_sittings(capacity).join(covers, INSTANCE, "left"))
 
 
-def weekday_threshold(outcomes: DataFrame, q: float = 0.8, accuracy: int = 10000) -> DataFrame:
+def weekday_threshold(
+    outcomes: DataFrame, q: float = 0.8, accuracy: int = 10000, exact: bool = False
+) -> DataFrame:
     """Utilisation at quantile ``q`` per venue and weekday (unbooked sittings are ignored).
 
     ``percentile_approx`` keeps a bounded, mergeable summary, so a venue with
     most of the data needs no large group; groups well below ``accuracy`` rows
-    give the exact order statistic.
+    give the exact order statistic. With ``exact`` groups of any size do.
     """
     ratio = safe_ratio(F.col("final_actual_covers"), F.col("util_capacity"))
+    open_sittings = outcomes.filter(F.col("util_capacity") > 0)
+    if exact:
+        used = open_sittings.select("venue_key_id", "day_of_week", ratio.alias("ratio"))
+        return exact_quantile(used, ["venue_key_id", "day_of_week"], "ratio", q, "hot_threshold")
     return (
-        outcomes.filter(F.col("util_capacity") > 0)
+        open_sittings
         .groupBy("venue_key_id", "day_of_week")
         .agg(F.percentile_approx(ratio, q, accuracy).alias("hot_threshold"))
     )
@@ -91,6 +98,6 @@ def label_by_threshold(outcomes: DataFrame, thresholds: DataFrame) -> DataFrame:
     )
 
 
-def label_by_quantile(outcomes: DataFrame, q: float = 0.8) -> DataFrame:
+def label_by_quantile(outcomes: DataFrame, q: float = 0.8, exact: bool = False) -> DataFrame:
     """Flag sittings at or above their weekday's quantile of utilisation."""
-    return label_by_threshold(outcomes, weekday_threshold(outcomes, q))
+    return label_by_threshold(outcomes, weekday_threshold(outcomes, q, exact=exact))

@@ -414,6 +414,20 @@ def _stratified() -> str:
 SELECT * EXCLUDE (h, rn, n), rn <= ceil(0.2::DOUBLE * n) AS is_validation FROM ranked"""
 
 
+def _metrics_by(rows: str, by: str) -> str:
+    """Metrics per group of ``by`` over the statement ``rows``."""
+    return f"""{rows}, j AS (SELECT *, CASE WHEN hot_probability > 0.5 THEN 1 ELSE 0 END AS hot FROM marked),
+ rung AS (SELECT {by}, hot_probability AS x, sum(is_hot) AS pos, sum(1 - is_hot) AS neg FROM j GROUP BY ALL),
+ climb AS (SELECT *, sum(neg) OVER (PARTITION BY {by} ORDER BY x) - neg AS beaten FROM rung),
+ area AS (SELECT {by}, round(sum(pos * (beaten + 0.5::DOUBLE * neg)) / nullif(sum(pos) * CAST(sum(neg) AS DOUBLE), 0), 9) AS auc_score
+  FROM climb GROUP BY ALL),
+ split AS (SELECT {by}, CAST(sum(is_hot * hot) AS BIGINT) AS true_positives, CAST(sum((1 - is_hot) * hot) AS BIGINT) AS false_positives,
+  CAST(sum((1 - is_hot) * (1 - hot)) AS BIGINT) AS true_negatives, CAST(sum(is_hot * (1 - hot)) AS BIGINT) AS false_negatives FROM j GROUP BY ALL),
+ {_RATES.strip().replace('FROM confusion', 'FROM split')}
+SELECT {by}, CAST(true_positives + true_negatives AS DOUBLE) / n AS accuracy, auc_score, hp AS precision_hot, hr AS recall_hot, hf AS f1_score,
+ true_positives, false_positives, true_negatives, false_negatives FROM f1s JOIN area USING ({by})"""
+
+
 # --- queries -----------------------------------------------------------------------
 
 
@@ -510,6 +524,7 @@ quantile_label AS (
   FROM outcome o LEFT JOIN threshold t USING (venue_key_id, day_of_week))"""
     q["final_outcomes"] = _with(outcomes) + "SELECT * FROM outcome"
     q["weekday_threshold"] = _with(outcomes) + "SELECT * FROM threshold"
+    q["weekday_threshold_exact"] = q["weekday_threshold"]
     q["label_quantile"] = _with(outcomes) + "SELECT * FROM quantile_label"
 
     days_2y = f"""{_labelled(_PAST_2Y)},
@@ -638,4 +653,7 @@ ORDER BY md5('42|' || CAST(shift_date AS VARCHAR) || '|' || venue_key_id || '|'
 SELECT bin, (2 * bin + 1) / 20.0::DOUBLE AS bin_center, coalesce(avg(is_hot), 0) AS fraction_of_positives, count(is_hot) AS rows
 FROM bins LEFT JOIN scored ON hot_probability > lo AND hot_probability <= hi GROUP BY bin"""
     q["stratified_split"] = _stratified()
+    marked = _stratified().replace("SELECT * EXCLUDE (h, rn, n)", ", marked AS (SELECT * EXCLUDE (h, rn, n)") + ")"
+    q["metrics_by_split"] = _metrics_by(marked, "is_validation")
+    q["metrics_by_shift"] = _metrics_by(_SCORED.rstrip() + ", marked AS (SELECT * FROM scored)", "persistent_id, day_of_week")
     return q

@@ -1,5 +1,7 @@
 """Evaluation tables against NumPy on random scores."""
 
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -140,3 +142,23 @@ def test_published_backtest_figures(spark):
     assert (row.true_positives, row.false_positives, row.true_negatives, row.false_negatives) == (58, 1, 141, 0)
     assert round(row.accuracy, 4) == 0.995 and round(row.precision_hot, 4) == 0.9831
     assert round(row.f1_score, 4) == 0.9915 and row.auc_score == 1.0
+
+
+def test_metrics_of_every_group_from_one_scan(spark):
+    rng = random.Random(7)
+    rows = [(g, rng.random() < 0.4, round(rng.random(), 2)) for g in ("a", "b", None) for _ in range(80)]
+    rows += [("one class", True, 0.9), ("one class", True, 0.2), ("null score", True, None)]
+    scored = spark.createDataFrame([(g, 1, int(y), x) for g, y, x in rows], "g string, h int, is_hot int, hot_probability double")
+    judged = evaluate.with_class(scored)
+    result = evaluate.metrics_by(judged, "g", "h")
+    found = {r.g: r for r in result.collect()}
+    assert set(found) == {"a", "b", None, "one class"}
+    for g, r in found.items():
+        part = judged.filter(F.col("g").eqNullSafe(F.lit(g)))
+        expected = evaluate.classification_metrics(part).first().asDict()
+        got = {c: r[c] for c in expected}
+        assert {c: v for c, v in got.items() if c != "auc_score"} == {c: v for c, v in expected.items() if c != "auc_score"}
+        assert got["auc_score"] == expected["auc_score"] or abs(got["auc_score"] - expected["auc_score"]) < 1e-12
+    assert found["one class"].auc_score is None
+    plan = result._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("Scan ExistingRDD") + plan.count("LocalTableScan") == 1, plan
