@@ -210,7 +210,7 @@ def _cumulative(scored: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
     def base(column: str, window) -> Column:
         return F.coalesce(F.sum(column).over(window), F.lit(0))
 
-    totals = [f"all_{c}" for c in counted]
+    totals = [f"all_{c}" for c in counted] + [f"cell_{c}" for c in counted[2:]]
     blocks = cells.groupBy(*group, "block").agg(*sums).select(
         *group,
         "block",
@@ -224,7 +224,8 @@ def _cumulative(scored: DataFrame, by: tuple[str, ...] = ()) -> DataFrame:
         "cell",
         (F.col("pos_before_block") + base("pos", by_cell)).alias("pos_before"),
         (F.col("neg_before_block") + base("neg", by_cell)).alias("neg_before"),
-        *totals,
+        *[f"all_{c}" for c in counted],
+        *[cells[c].alias(f"cell_{c}") for c in counted[2:]],
     )
     return levels.drop("block").join(bases, [*group, "cell"]).select(
         *group,
@@ -247,20 +248,20 @@ def _area() -> Column:
 def metrics_by(scored: DataFrame, *by: str) -> DataFrame:
     """``classification_metrics`` of every group of ``by``, null values included, from one scan of the rows.
 
-    Rows without a score or a label count nowhere, and a group of such rows has no metrics. Every count is taken from the scores and from the cells and averaged:
-    both are equal, and reading both lets all levels share one scan.
+    Rows without a score or a label count nowhere, and a group of such rows has no metrics. The counts are read from
+    the scores, the cells and the totals, of which none is larger than the total, so that all levels share one scan.
     """
 
-    def both(column: str) -> Column:
-        return F.expr(f"(sum({column}) + max(all_{column})) div 2")
+    def total(column: str) -> Column:
+        return F.greatest(F.sum(column), F.max(f"all_{column}"), *([F.max(f"cell_{column}")] if column in ("hits", "alarms") else []))
 
     known = scored.filter(F.col(SCORE).isNotNull() & F.col(LABEL).isNotNull())
     rows = _cumulative(known, by).groupBy("group").agg(
         _area().alias("auc_score"),
-        both("hits").alias("true_positives"),
-        both("alarms").alias("false_positives"),
-        (both("neg") - both("alarms")).alias("true_negatives"),
-        (both("pos") - both("hits")).alias("false_negatives"),
+        total("hits").alias("true_positives"),
+        total("alarms").alias("false_positives"),
+        (total("neg") - total("alarms")).alias("true_negatives"),
+        (total("pos") - total("hits")).alias("false_negatives"),
     )
     tp, fp = F.col("true_positives"), F.col("false_positives")
     tn, fn = F.col("true_negatives"), F.col("false_negatives")
