@@ -161,6 +161,10 @@ class PairIndexBpe:
         return b"".join(map(self.bytes_of.__getitem__, ids)).decode("utf-8", "replace")
 
 
+#: Characters of text that are encoded and decoded at a time.
+BOTH_CHARS = 1_000_000
+
+
 @lru_cache(maxsize=2)
 def bpe(path: str) -> PairIndexBpe:
     return PairIndexBpe(path)
@@ -191,6 +195,18 @@ def _decode_partition(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[
         )
 
 
+def _both_partition(batches: Iterator[pa.RecordBatch], path: str) -> Iterator[pa.RecordBatch]:
+    encoder, model = bpe_pieces(path), bpe(path)
+    for batch in batches:
+        for at, texts in chunks(batch, 1, BOTH_CHARS):
+            keys = batch.column(0).slice(at, len(texts))
+            with without_cycles():
+                ids = id_lists(encoder.texts(texts))
+            values, offsets = id_values(ids)
+            texts = [model.decode(values[a:b].tolist()) for a, b in zip(offsets[:-1], offsets[1:])]
+            yield pa.RecordBatch.from_arrays([keys, ids, pa.array(texts, pa.string())], ["doc_id", "ids", "text"])
+
+
 def encode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, ids) of every row, in the place of the row: no shuffle.
 
@@ -210,3 +226,11 @@ def decode(encoded: DataFrame, tokenizer: str) -> DataFrame:
     rows = encoded.select("doc_id", F.coalesce("ids", F.array().cast("array<int>")).alias("ids"))
     kind = rows.schema["doc_id"].dataType.simpleString()
     return rows.mapInArrow(lambda it: _decode_partition(it, tokenizer), f"doc_id {kind}, ids array<int>, text string")
+
+
+def encode_decode(docs: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, ids, text) of every row as ``decode`` gives them for ``encode``, in one pass by one worker per task."""
+    importable(docs.sparkSession)
+    rows = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    return rows.mapInArrow(lambda it: _both_partition(it, tokenizer), f"doc_id {kind}, ids array<int>, text string")

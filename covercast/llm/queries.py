@@ -133,8 +133,8 @@ def op9_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    encoded = bpe.encode(_table(spark, sf_dir, "documents"), tokenizer_path())
-    return bpe.decode(encoded, tokenizer_path()).select(
+    both = bpe.encode_decode(_table(spark, sf_dir, "documents"), tokenizer_path())
+    return both.select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),
