@@ -41,7 +41,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode_decode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, token ids and the text that they decode to, of every document."""
-    return bpe.decode(bpe.encode(docs, tokenizer_path()), tokenizer_path())
+    return bpe.encode_decode(docs, tokenizer_path())
 
 
 STAGES = [
