@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,7 +15,7 @@ from covercast.keys import INSTANCE
 from covercast.operators import (
     asof, bookings, calendar, capacity, evaluate, labels, lookups, rows, slots,
 )
-from covercast.plans import model, upcoming, training
+from covercast.plans import model, staged, training, upcoming
 from covercast.sources import benchmark
 from covercast.sources.benchmark import AS_OF, NOW
 
@@ -500,18 +501,27 @@ def metrics_by_shift(judged):
 # --- model --------------------------------------------------------------------------
 
 
-def model_scores(spark, sf_dir):
-    """Fit on the past slots and score the coming ones (no SQL counterpart)."""
+#: The registered fits are shorter than ``BoostParams()``; README has time and AUC of both.
+SHORT = model.BoostParams(trees=40, step=0.3, patience=10)
+
+
+def _slot_rows(spark, sf_dir):
+    """Past slots, written once: the split, every tree and every stage read the files."""
     src = benchmark.sources(spark, sf_dir)
-    past = training.training_slot(src, AS_OF, NOW).persist()
-    fitted, _, _ = model.train_and_evaluate(
-        past,
-        model.SLOT_FEATURES,
-        ("slot_capacity", "covers_as_of_date"),
-        model.BoostParams(trees=10, step=0.3),
-        weighted=True,
+    path = f"{staged.shared_folder(spark)}/slots-{uuid.uuid4().hex}"
+    training.training_slot(src, AS_OF, NOW).write.parquet(path)
+    marked, features = model.prepare_training(
+        spark.read.parquet(path), model.SLOT_FEATURES, ("slot_capacity", "covers_as_of_date")
     )
-    coming = upcoming.upcoming_slot(src, AS_OF, NOW)
+    rows.with_class_weight(marked, counted=~F.col("is_validation")).write.parquet(f"{path}-marked")
+    return spark.read.parquet(f"{path}-marked"), features
+
+
+def model_scores(spark, sf_dir):
+    """Fit on the past slots and score the coming ones (no SQL counterpart)."""
+    marked, features = _slot_rows(spark, sf_dir)
+    fitted = model.fit_model(marked, features, SHORT, validation_col="is_validation", weight_col="weight")
+    coming = upcoming.upcoming_slot(benchmark.sources(spark, sf_dir), AS_OF, NOW)
     return model.predict_future(fitted, coming).select(
         *slots.SLOT, "slot_capacity", "covers_as_of_date", evaluate.SCORE, evaluate.PREDICTED
     )
@@ -519,8 +529,21 @@ def model_scores(spark, sf_dir):
 
 _QUERIES["model_scores"] = model_scores
 
+
+def model_stages(spark, sf_dir):
+    """AUC of every prefix of the trees on the validation rows, and whether it is the one that stays (no SQL counterpart)."""
+    marked, features = _slot_rows(spark, sf_dir)
+    fitted = model.fit_model(marked.filter("not is_validation"), features, SHORT, weight_col="weight")
+    curve = staged.staged_auc(fitted, marked.filter("is_validation"))
+    # One row per tree.
+    best, _ = staged.best_prefix(curve.orderBy("trees").collect(), SHORT.patience)
+    return curve.withColumn("stays", F.col("trees") == best)
+
+
+_QUERIES["model_stages"] = model_stages
+
 # Queries that SQL cannot express.
-ITERATIVE = ("model_scores",)
+ITERATIVE = ("model_scores", "model_stages")
 
 
 def queries() -> dict[str, Query]:

@@ -1,0 +1,17 @@
+"""What Python workers need to run functions of this package."""
+
+from __future__ import annotations
+
+import os
+
+from pyspark.sql import SparkSession
+
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+
+
+def importable(spark: SparkSession) -> None:
+    """Let Python workers that start from now on import this package from where the driver has it."""
+    env = spark.sparkContext.environment
+    paths = env.get("PYTHONPATH", "").split(os.pathsep)
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
