@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import datetime as dt
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -12,8 +11,9 @@ from pyspark.sql import functions as F
 from covercast.functions import dates
 from covercast.functions.seating import pacing_at_minute
 from covercast.keys import INSTANCE
+from covercast.shared import stored
 from covercast.operators import (
-    asof, bookings, calendar, capacity, evaluate, labels, lookups, rows, slots,
+    asof, bookings, calendar, capacity, encode, evaluate, intervals, labels, lookups, rows, slots, totals,
 )
 from covercast.plans import model, staged, training, upcoming
 from covercast.sources import benchmark
@@ -156,6 +156,16 @@ def shift_times(src):
     )
 
 
+@_query
+def interval_covers(src):
+    """Guests who arrive while a sitting is open, by its own clock times, for the last 400 days."""
+    start = AS_OF - dt.timedelta(days=400)
+    dated = capacity.shift_capacity_per_day(src, start, AS_OF, capacity.TIME_COLUMNS)
+    keys = ["venue_key_id", "persistent_id", "date", "int_id"]
+    sittings = bookings.open_hours(capacity.shift_times(dated)).select(*keys, "opens", "closes")
+    return bookings.arrivals_while_open(sittings, src["reservation"], keys)
+
+
 @_query
 def future_capacity(src):
     return upcoming.future_capacity(src, AS_OF)
@@ -284,6 +294,39 @@ def running_sum_range(src):
     )
 
 
+#: Creation days of all sittings of a venue: a key of any size.
+_BY_VENUE = ["creation_day", "persistent_id", "shift_date"]
+
+
+@_query
+def running_total_rows(src):
+    booked = bookings.bookings_by_creation_day(src["reservation"])
+    return totals.running_total(booked, ["venue_key_id"], _BY_VENUE, _RUNNING).select(*INSTANCE, "creation_day", *_RUNNING)
+
+
+@_query
+def running_total_range(src):
+    booked = bookings.bookings_by_creation_day(src["reservation"]).withColumn(
+        "creation_week", dates.week_start(F.col("creation_day"))
+    )
+    return totals.running_total(booked, ["venue_key_id"], ["creation_week"], _RUNNING, "range").select(
+        *INSTANCE, "creation_day", "creation_week", *_RUNNING
+    )
+
+
+# --- categories -----------------------------------------------------------------
+
+
+@_query
+def encoded_categories(src):
+    """Numbers of names learnt from past reservations, for all of them."""
+    visit = F.concat_ws("/", "venue_key_id", "shift_persistent_id", "date")
+    named = src["reservation"].select("venue_key_id", "shift_persistent_id", "status", "date", visit.alias("visit"))
+    past = named.filter(F.col("date") < F.lit(AS_OF))
+    columns = ["shift_persistent_id", "status", "visit"]
+    return encode.encoded(named, {c: encode.dictionary(past, c) for c in columns})
+
+
 # --- slots ----------------------------------------------------------------------
 
 
@@ -508,13 +551,9 @@ SHORT = model.BoostParams(trees=40, step=0.3, patience=10)
 def _slot_rows(spark, sf_dir):
     """Past slots, written once: the split, every tree and every stage read the files."""
     src = benchmark.sources(spark, sf_dir)
-    path = f"{staged.shared_folder(spark)}/slots-{uuid.uuid4().hex}"
-    training.training_slot(src, AS_OF, NOW).write.parquet(path)
-    marked, features = model.prepare_training(
-        spark.read.parquet(path), model.SLOT_FEATURES, ("slot_capacity", "covers_as_of_date")
-    )
-    rows.with_class_weight(marked, counted=~F.col("is_validation")).write.parquet(f"{path}-marked")
-    return spark.read.parquet(f"{path}-marked"), features
+    past = stored(training.training_slot(src, AS_OF, NOW), "slots")
+    marked, features = model.prepare_training(past, model.SLOT_FEATURES, ("slot_capacity", "covers_as_of_date"))
+    return stored(rows.with_class_weight(marked, counted=~F.col("is_validation")), "marked"), features
 
 
 def model_scores(spark, sf_dir):

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from covercast.functions.basic import day, moment
 from covercast.keys import INSTANCE
+from covercast.operators.intervals import interval_join
 
 # Fixed value: the status of a withdrawn reservation.
 DEAD_STATUS = ("CANCELED",)
@@ -220,3 +221,29 @@ def attach_history(df: DataFrame, history: DataFrame, day_col: str = "shift_date
 def attach_bookings(capacity: DataFrame, bookings: DataFrame) -> DataFrame:
     """Left join bookings onto sittings."""
     return capacity.join(bookings, INSTANCE, "left")
+
+
+def open_hours(timed: DataFrame) -> DataFrame:
+    """``capacity.shift_times`` with the moments a sitting ``opens`` and ``closes``, the latter maybe on the next day."""
+    midnight = F.col("date").cast("timestamp_ntz")
+    base = F.expr("timestamp_ntz'1970-01-01 00:00:00'")
+    return timed.withColumns(
+        {
+            "opens": midnight + (F.col("normalized_start_time") - base),
+            "closes": midnight + (F.col("normalized_end_time") - base),
+        }
+    )
+
+
+def arrivals_while_open(sittings: DataFrame, reservations: DataFrame, keys: Iterable[str]) -> DataFrame:
+    """Sittings with the guests and reservations of their venue that are due while they are open, 0 where none.
+
+    keys: columns that tell the sittings apart, ``venue_key_id`` among them. Sittings may overlap and be of any length. Reservations
+    are counted per venue and moment before they meet the sittings.
+    """
+    keys = list(keys)
+    due = active_reservations(reservations).filter(F.col("marked_time").isNotNull()).groupBy("venue_key_id", "marked_time")
+    due = due.agg(F.sum(F.coalesce("max_guests", F.lit(0))).alias("guests"), F.count(F.lit(1)).alias("parties"))
+    met = interval_join(sittings.select(*keys, "opens", "closes"), due, ["venue_key_id"], "opens", "closes", "marked_time")
+    counted = met.groupBy(*keys).agg(F.sum("guests").alias("guests"), F.sum("parties").alias("parties"))
+    return sittings.join(counted, keys, "left").na.fill(0, ["guests", "parties"])

@@ -466,6 +466,15 @@ SELECT date, venue_key_id, int_id, persistent_id, name, shift_category, interval
        CAST(hour(normalized_start_time) * 60 + minute(normalized_start_time) AS INTEGER) AS normalized_start_time_minutes,
        date - CAST(dayofweek(date) AS INTEGER) AS date_partition FROM ended"""
 
+    clock = "CAST(date AS TIMESTAMP) + (normalized_{0}_time - TIMESTAMP '1970-01-01')"
+    timed = q["shift_times"].replace(_with(_capacity(*_ALL_DAYS, extra=_TIMES)), "")
+    q["interval_covers"] = _with(_capacity("DATE '2001-01-01' - 400", AS_OF, extra=_TIMES)) + timed.split("\nSELECT date")[0] + f""",
+ sitting AS (SELECT venue_key_id, persistent_id, date, int_id, {clock.format('start')} AS opens, {clock.format('end')} AS closes FROM ended),
+ due AS (SELECT venue_key_id, marked_time, coalesce(max_guests, 0) AS max_guests FROM reservation WHERE status NOT IN ('CANCELED')),
+ met AS (SELECT s.venue_key_id, s.persistent_id, s.date, s.int_id, CAST(sum(max_guests) AS BIGINT) AS guests, count(*) AS parties
+  FROM sitting s JOIN due d ON d.venue_key_id = s.venue_key_id AND d.marked_time >= s.opens AND d.marked_time < s.closes GROUP BY ALL)
+SELECT s.*, coalesce(guests, 0) AS guests, coalesce(parties, 0) AS parties FROM sitting s LEFT JOIN met USING (venue_key_id, persistent_id, date, int_id)"""
+
     q["actual_covers"] = _with(_ACTUAL) + "SELECT * FROM actual"
     buckets = ", ".join(
         f"CAST(sum(CASE WHEN date_diff('day', CAST(created AS DATE), CAST(marked_time AS DATE)) >= {n} THEN max_guests ELSE 0 END) AS BIGINT) "
@@ -547,6 +556,26 @@ FROM (SCAFFOLD) s LEFT JOIN booked b ON b.venue_key_id = s.venue_key_id AND b.pe
  {running.format('reservations_created_on_day', 'creation_week', 'running_reservations')}
 FROM (SELECT *, creation_day - CAST(dayofweek(creation_day) AS INTEGER) AS creation_week FROM booked)"""
 
+    total = "CAST(sum(coalesce({0}, 0)) OVER (PARTITION BY venue_key_id ORDER BY {1}) AS BIGINT) AS {2}"
+    by_venue = "creation_day NULLS FIRST, persistent_id NULLS FIRST, shift_date NULLS FIRST ROWS UNBOUNDED PRECEDING"
+    q["running_total_rows"] = _with(_BOOKED.format("")) + f"""SELECT {out}, creation_day,
+ {total.format('covers_created_on_day', by_venue, 'running_covers')},
+ {total.format('reservations_created_on_day', by_venue, 'running_reservations')} FROM booked"""
+    q["running_total_range"] = _with(_BOOKED.format("")) + f"""SELECT {out}, creation_day, creation_week,
+ {total.format('covers_created_on_day', 'creation_week NULLS FIRST', 'running_covers')},
+ {total.format('reservations_created_on_day', 'creation_week NULLS FIRST', 'running_reservations')}
+FROM (SELECT *, creation_day - CAST(dayofweek(creation_day) AS INTEGER) AS creation_week FROM booked)"""
+
+    names = ("shift_persistent_id", "status", "visit")
+    numbers = ", ".join(
+        f"n_{c} AS (SELECT v, row_number() OVER (ORDER BY v) - 1 AS n FROM (SELECT DISTINCT {c} AS v FROM named WHERE date < {AS_OF} AND {c} IS NOT NULL))"
+        for c in names
+    )
+    q["encoded_categories"] = _with() + f""", named AS (SELECT venue_key_id, shift_persistent_id, status, date,
+  concat_ws('/', CAST(venue_key_id AS VARCHAR), shift_persistent_id, CAST(date AS VARCHAR)) AS visit FROM reservation), {numbers}
+SELECT named.*, {", ".join(f"coalesce(n_{c}.n, (SELECT count(*) FROM n_{c})) AS {c}_index" for c in names)}
+FROM named {" ".join(f"LEFT JOIN n_{c} ON n_{c}.v = named.{c}" for c in names)}"""
+
     slot_key = "venue_key_id, persistent_id, shift_date, int_id, slot_index"
     q["shift_slots"] = _with(_slots(_PAST_400D)) + f"""SELECT {slot_key}, shift_category, CAST(slot_start_time_min AS INTEGER) AS slot_start_time_min,
  CAST(slot_end_time_min AS INTEGER) AS slot_end_time_min, slot_start_timestamp, slot_end_timestamp FROM slot"""
