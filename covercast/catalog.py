@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,12 +12,12 @@ from pyspark.sql import functions as F
 from covercast.functions import dates
 from covercast.functions.seating import pacing_at_minute
 from covercast.keys import INSTANCE
-from covercast.shared import stored
+from covercast.shared import shared_folder, stored
 from covercast.operators import (
     asof, bookings, calendar, capacity, encode, evaluate, intervals, labels, lookups, rows, slots, totals,
 )
-from covercast.plans import model, staged, training, upcoming
-from covercast.sources import benchmark
+from covercast.plans import importance, model, staged, training, upcoming
+from covercast.sources import benchmark, sinks
 from covercast.sources.benchmark import AS_OF, NOW
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -428,11 +429,38 @@ def clean_training_rows(spark, sf_dir):
 _QUERIES["clean_training_rows"] = clean_training_rows
 
 
+def prepared_rows(spark, sf_dir):
+    """Rows as they are scored: numbers read, absent features added, nulls filled, features chosen by type and name."""
+    raw = benchmark.raw_training_rows(spark, sf_dir).withColumn("as_of_date", F.current_date())
+    read = rows.coerce_numeric(raw, ("util_capacity", "covers_as_of_date"))
+    full = rows.fill_numeric(rows.ensure_columns(read, ("covers_as_of_date", "covers_last_7_days", "is_holiday")))
+    keys = ["l_orderkey", "l_linenumber"]
+    return full.select(*keys, *rows.feature_columns(full.schema, [*keys, *model.NOT_FEATURES]))
+
+
+_QUERIES["prepared_rows"] = prepared_rows
+
+
 @_scored
 def backtest_results(judged):
     return evaluate.backtest_output(judged)
 
 
+def exported_results(spark, sf_dir):
+    """The saved back-test: written in order by month, the last month written again, and read back."""
+    judged = evaluate.backtest_output(evaluate.with_class(benchmark.scored(spark, sf_dir)))
+    results = judged.withColumn("result_month", F.date_format("shift_date", "yyyy-MM"))
+    path = f"{shared_folder(spark)}/results-{uuid.uuid4().hex}"
+    order = ["shift_date", "venue_key_id", "persistent_id"]
+    sinks.write_ordered(results, path, order, "result_month")
+    last = results.agg(F.max("result_month")).scalar()
+    sinks.write_ordered(results.filter(F.col("result_month") == last), path, order, "result_month")
+    return spark.read.schema(results.schema).option("header", True).csv(path)
+
+
+_QUERIES["exported_results"] = exported_results
+
+
 @_scored
 def class_balance(judged):
     return rows.class_balance(judged)
@@ -581,8 +609,19 @@ def model_stages(spark, sf_dir):
 
 _QUERIES["model_stages"] = model_stages
 
+def feature_importances(spark, sf_dir):
+    """The ten features of past slots whose shuffling costs most AUC on the validation rows (no SQL counterpart)."""
+    marked, features = _slot_rows(spark, sf_dir)
+    fitted = model.fit_model(marked.filter("not is_validation"), features, model.BoostParams(trees=10, step=0.3), weight_col="weight")
+    return importance.shuffled_importances(fitted, marked.filter("is_validation"), features, [*slots.SLOT]).orderBy(
+        F.desc("importance"), "feature"
+    ).limit(10)
+
+
+_QUERIES["feature_importances"] = feature_importances
+
 # Queries that SQL cannot express.
-ITERATIVE = ("model_scores", "model_stages")
+ITERATIVE = ("model_scores", "model_stages", "feature_importances")
 
 
 def queries() -> dict[str, Query]:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from covercast.functions.basic import day, moment
 from covercast.keys import INSTANCE
 from covercast.operators.intervals import interval_join
+from covercast.sources.layout import in_months
 
 # Fixed value: the status of a withdrawn reservation.
 DEAD_STATUS = ("CANCELED",)
@@ -36,7 +37,7 @@ def active_reservations(
         kept = kept.filter(F.col("marked_time") >= moment(start))
     if end is not None:
         kept = kept.filter(F.col("marked_time") <= moment(end))
-    return kept
+    return in_months(kept, "marked_time", start, end)
 
 
 def _service_day() -> Column:
@@ -66,7 +67,7 @@ def _of_days(df: DataFrame, start: dt.date | None, before: dt.date | None) -> Da
         kept = kept.filter(F.col("marked_time") >= moment(start))
     if before is not None:
         kept = kept.filter(F.col("marked_time") < moment(before))
-    return kept
+    return in_months(kept, "marked_time", start, before)
 
 
 def actual_covers(
@@ -184,8 +185,10 @@ def booking_patterns(
 ) -> DataFrame:
     """Mean guests per past reservation booked within n days, and mean lead time."""
     lead = F.datediff("date", _creation_day())
+    # Some days more, where the month of the first one is shorter.
+    first = as_of.replace(year=as_of.year - years, day=1)
     return (
-        active_reservations(reservations)
+        in_months(active_reservations(reservations), "date", first, as_of)
         .filter(
             F.col("created").isNotNull()
             & (F.col("date") >= F.add_months(day(as_of), -12 * years))

@@ -645,6 +645,12 @@ FROM coming c LEFT JOIN current_books b {_USING} LEFT JOIN patterns h ON h.venue
  TRY_CAST(CASE WHEN l_partkey % 15 = 0 THEN '' WHEN l_partkey % 7 = 3 THEN NULL ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS DOUBLE) AS covers_as_of_date,
  CASE WHEN l_tax > 0.04 THEN 1 ELSE 0 END AS is_hot FROM lineitem) WHERE util_capacity IS NOT NULL AND covers_as_of_date IS NOT NULL"""
 
+    q["prepared_rows"] = """SELECT l_orderkey, l_linenumber,
+ coalesce(TRY_CAST(CASE WHEN l_partkey % 10 = 0 THEN 'n/a' ELSE CAST(CAST(trunc(l_extendedprice) AS BIGINT) AS VARCHAR) END AS DOUBLE), 0) AS util_capacity,
+ coalesce(TRY_CAST(CASE WHEN l_partkey % 15 = 0 THEN '' WHEN l_partkey % 7 = 3 THEN NULL ELSE CAST(CAST(l_quantity AS BIGINT) AS VARCHAR) END AS DOUBLE), 0) AS covers_as_of_date,
+ 0 AS covers_last_7_days, 0 AS is_holiday FROM lineitem"""
+    q["exported_results"] = _SCORED + f"""SELECT shift_date, venue_key_id, persistent_id, is_hot, predicted_hot, hot_probability, {CORRECT},
+ strftime(shift_date, '%Y-%m') AS result_month FROM judged"""
     q["backtest_results"] = _SCORED + f"SELECT shift_date, venue_key_id, persistent_id, is_hot, predicted_hot, hot_probability, {CORRECT} FROM judged"
     q["class_balance"] = _SCORED + """SELECT count(*) FILTER (is_hot = 0) AS negatives, count(*) FILTER (is_hot = 1) AS positives,
  CAST(count(*) FILTER (is_hot = 0) AS DOUBLE) / count(*) FILTER (is_hot = 1) AS scale_pos_weight FROM scored"""

@@ -7,6 +7,7 @@ from collections.abc import Iterable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from covercast.sources.layout import MONTH_OF
 from covercast.sources.schemas import OPTIONAL, TABLES, schema_of
 
 
@@ -26,7 +27,8 @@ def conform(df: DataFrame, table: str) -> DataFrame:
     """Bring a table to its declared columns and types.
 
     A column that already has the declared type stays a bare reference, so
-    filters on it still reach the Parquet reader.
+    filters on it still reach the Parquet reader. The folder columns of stored
+    reservations stay, behind the others.
     """
     wanted = schema_of(table)
     require_columns(df, [f.name for f in wanted if f.name not in OPTIONAL])
@@ -39,7 +41,8 @@ def conform(df: DataFrame, table: str) -> DataFrame:
             columns.append(F.col(f"`{field.name}`"))
         else:
             columns.append(F.col(f"`{field.name}`").cast(field.dataType).alias(field.name))
-    return df.select(*columns)
+    folders = [c for c in MONTH_OF.values() if table == "reservation" and c in have]
+    return df.select(*columns, *folders)
 
 
 def load_sources(

@@ -1,11 +1,14 @@
 """Loading, layout and writing of tables."""
 
 import datetime as dt
+import pathlib
 
 import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from covercast.operators import bookings
-from covercast.plans import training
+from covercast.plans import training, upcoming
 from covercast.sources import benchmark, load, sinks
 from covercast.sources.schemas import TABLES, schema_of
 
@@ -28,7 +31,8 @@ def test_loaded_tables_have_the_declared_schema(spark, stored):
     tables = load.load_sources(spark, stored)
     assert set(tables) == set(TABLES)
     for name, df in tables.items():
-        assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in schema_of(name)]
+        folders = [] if name != "reservation" else [(c, T.StringType()) for c in ("service_month", "date_month")]
+        assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in schema_of(name)] + folders
 
 
 def test_stored_and_derived_tables_give_the_same_labels(spark, stored):
@@ -83,3 +87,56 @@ def test_csv_round_trip_and_partitions(spark, tmp_path):
 def test_ordered(spark):
     df = spark.createDataFrame([(1, 2), (1, 1), (2, 0)], "a int, b int")
     assert [tuple(r) for r in sinks.ordered(df, ["a", "b"], ["a"]).collect()] == [(2, 0), (1, 1), (1, 2)]
+
+
+def test_windows_skip_folders(spark, stored):
+    """Every windowed table filters by folder, and only the folders of its window are left."""
+    src = load.load_sources(spark, stored)
+    as_of, now = benchmark.AS_OF, benchmark.NOW
+    windowed = {
+        "training_shift_final": training.training_shift_final(src, as_of),
+        "training_slot": training.training_slot(src, as_of, now),
+        "training_shift_rich": training.training_shift_rich(src, as_of),
+        "upcoming_shift": upcoming.upcoming_shift(src, as_of, now),
+        "upcoming_shift_holiday": upcoming.upcoming_shift_holiday(src, as_of),
+        "upcoming_slot": upcoming.upcoming_slot(src, as_of, now),
+        "booking_patterns": bookings.booking_patterns(src["reservation"], as_of),
+    }
+    for name, df in windowed.items():
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        scans = [line for line in plan.split("\n") if "FileScan" in line and "max_guests" in line]
+        assert scans, name
+        for scan in scans:
+            filters = scan.split("PartitionFilters: [")[1].split("]")[0]
+            assert "service_month" in filters or "date_month" in filters, (name, scan)
+    months = sorted(p.name.removeprefix("service_month=") for p in pathlib.Path(stored, "reservation").iterdir() if "=2" in p.name or "=19" in p.name)
+    assert len(months) > 8
+    chosen = months[4:6]
+    first, last = (dt.datetime.strptime(m, "%Y-%m") for m in chosen)
+    window = bookings.active_reservations(src["reservation"], start=first, end=last + dt.timedelta(days=27))
+    read = {r.f.split("service_month=")[1].split("/")[0] for r in window.select(F.input_file_name().alias("f")).distinct().collect()}
+    assert read and read <= set(chosen)
+
+
+def test_windows_give_the_same_rows_with_and_without_folders(spark, stored):
+    a, b = load.load_sources(spark, stored), benchmark.sources(spark, SF_DIR)
+    for build in (lambda s: upcoming.upcoming_shift(s, benchmark.AS_OF, benchmark.NOW), lambda s: training.training_shift_final(s, benchmark.AS_OF),
+                  lambda s: bookings.booking_patterns(s["reservation"], benchmark.AS_OF)):
+        x, y = build(a), build(b)
+        assert x.count() == y.count() and x.exceptAll(y.select(x.columns)).isEmpty()
+
+
+def test_ordered_export_replaces_what_it_writes(spark, tmp_path):
+    rows = [(d, n, f"v{n}" if n % 5 else ("" if n % 2 else None)) for d in ("a", "b", None) for n in range(50)]
+    df = spark.createDataFrame(rows, "day string, n int, v string")
+    path = f"{tmp_path}/out"
+    for again in (df, df.filter("day = 'b'"), df):
+        sinks.write_ordered(again, path, ["n"], "day")
+    back = spark.read.schema(df.schema).option("header", True).option("nullValue", "no such text").csv(path)
+    assert sorted(map(repr, back.select(df.columns).collect())) == sorted(map(repr, df.collect()))
+    sinks.write_ordered(df.filter("day = 'a' and n < 7"), path, ["n"], "day")
+    counts = {r.day: r["count"] for r in spark.read.schema(df.schema).option("header", True).csv(path).groupBy("day").count().collect()}
+    assert counts == {"a": 7, "b": 50, None: 50}
+    for folder in pathlib.Path(path).glob("day=*"):
+        lines = [int(line.split(",")[0]) for f in sorted(folder.glob("part-*")) for line in f.read_text().splitlines()[1:]]
+        assert lines == sorted(lines)
