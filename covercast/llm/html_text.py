@@ -4,13 +4,14 @@ A page is cut into blocks at block-level tags. The first pass decides by link de
 the share of stop words, with the markup around a block as a further sign: navigation, adverts, notices, forms and
 comments are never text, and what stands in an article is never rejected for its words alone. Blocks that are
 too short or too odd to tell stay open; the second pass gives them the label of the nearest decided block of
-the same section, the text's where two are equally near.
+the same section, the text's where two are equally near. Pages that mark no article are read by the same two passes.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -53,12 +54,16 @@ OUTSIDE_ROLES = frozenset("alert banner complementary contentinfo dialog form me
 HEADING_NAMES = frozenset(["header", "masthead", "banner"])
 
 SHORT, LONG = 70, 200
-STOP_LOW, STOP_HIGH = 0.15, 0.30
+STOP_NONE, STOP_LONG, STOP_LOW, STOP_HIGH = 0.03, 0.08, 0.15, 0.30
 MOST_LINKS = 0.5
 
-MARK = re.compile(
-    r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>", re.S
-)
+#: Comments and declarations; tags whose attributes hold no "<"; tags of any kind.
+REMARK = re.compile(r"<!--.*?(?:-->|\Z)|<![^>]*>|<\?[^>]*>", re.S)
+TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"'<]|\"[^\"<]*\"|'[^'<]*')*+)>")
+ANY_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>")
+#: Characters that a tag with "<" in its attributes may have, and such tags that may fail to close before no more are tried.
+MOST_TAG, MOST_FAILED = 65_536, 64
+WORD = re.compile(r"\w+")
 ATTRIBUTE = re.compile(r"([^\s\"'>/=]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 PART = re.compile(r"[-_]+")
 #: Elements that hold the page or its article: names do not set them apart.
@@ -99,12 +104,41 @@ def marked_outside(tag: str, attributes: str, inside: bool, by_name: bool = True
     return False
 
 
+class Marks:
+    """Comments, declarations and tags of a page, found in time that grows with its length.
+
+    What stands after a "<" that opens none of them is text. A tag that breaks off inside quotes ends nowhere: after
+    ``MOST_FAILED`` of them only tags without "<" in their attributes are found.
+    """
+
+    def __init__(self, page: str):
+        # Nothing closes behind the last ">", but a comment that runs to the end.
+        self.page, self.last, self.failed = page, page.rfind(">") + 1, 0
+
+    def after(self, at: int) -> re.Match | None:
+        """The first one that begins at ``at`` or later."""
+        page, last = self.page, self.last
+        while (at := page.find("<", at)) >= 0:
+            found = REMARK.match(page, at) if at < last or page.startswith("<!--", at) else None
+            if found is None and at < last:
+                found = TAG.match(page, at, last)
+                if found is None and self.failed < MOST_FAILED:
+                    found = ANY_TAG.match(page, at, min(last, at + MOST_TAG))
+                    self.failed += found is None
+            if found is not None:
+                return found
+            at += 1
+        return None
+
+
 def blocks(page: str, by_name: bool = True) -> list[Block]:
     """The blocks of a page in order, white space collapsed, character references decoded."""
     found: list[Block] = []
     open_tags: list[tuple[str, bool, bool, int]] = []  # tag, outside, inside, section
     parts: list[tuple[str, bool]] = []
+    held: Counter[str] = Counter()  # open tags by name
     links, sections, breaks, at = 0, 0, 0, 0
+    marks = Marks(page)
 
     def state() -> tuple[bool, bool, int]:
         return open_tags[-1][1:] if open_tags else (False, False, 0)
@@ -119,8 +153,12 @@ def blocks(page: str, by_name: bool = True) -> list[Block]:
             found.append(Block(text, linked, section, outside, inside))
         parts.clear()
 
+    def pop_from(k: int) -> None:
+        held.subtract(t[0] for t in open_tags[k:])
+        del open_tags[k:]
+
     while at < len(page):
-        m = MARK.search(page, at)
+        m = marks.after(at)
         end = m.start() if m else len(page)
         if end > at:
             piece = page[at:end]
@@ -130,7 +168,7 @@ def blocks(page: str, by_name: bool = True) -> list[Block]:
         if m is None:
             break
         at = m.end()
-        tag = (m[2] or "").lower()
+        tag = (m[2] or "").lower() if m.re is not REMARK else ""
         if not tag:
             continue
         closing = bool(m[1])
@@ -142,7 +180,7 @@ def blocks(page: str, by_name: bool = True) -> list[Block]:
             continue
         if tag in SILENT and not closing:
             if not m[3].endswith("/"):
-                stop = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at)
+                stop = re.compile(rf"</{tag}\b[^>]*>", re.I).search(page, at, marks.last)
                 at = stop.end() if stop else len(page)
             parts.append((" ", links > 0))
             continue
@@ -154,19 +192,17 @@ def blocks(page: str, by_name: bool = True) -> list[Block]:
         if tag == "a":
             links = 0 if closing else 1
         if closing:
-            for k in range(len(open_tags) - 1, -1, -1):
-                if open_tags[k][0] == tag:
-                    del open_tags[k:]
-                    break
+            if held[tag] > 0:
+                pop_from(next(k for k in range(len(open_tags) - 1, -1, -1) if open_tags[k][0] == tag))
             continue
         if tag not in INLINE:
             links = 0
             while open_tags and (open_tags[-1][0] in INLINE or open_tags[-1][0] in ("p", "li") and open_tags[-1][0] == tag):
-                open_tags.pop()
+                pop_from(len(open_tags) - 1)
             if open_tags and open_tags[-1][0] == "p":
-                open_tags.pop()
+                pop_from(len(open_tags) - 1)
             if tag == "body":
-                open_tags.clear()
+                pop_from(0)
         elif tag == "a":
             continue
         outside, inside, section = state()
@@ -176,6 +212,7 @@ def blocks(page: str, by_name: bool = True) -> list[Block]:
             inside, section = True, sections
         if tag not in INLINE or outside != state()[0]:
             open_tags.append((tag, outside, inside, section))
+            held[tag] += 1
     close_block()
     return found
 
@@ -189,11 +226,12 @@ def first_pass(block: Block, marked: bool) -> str:
         return "other"
     if size < SHORT:
         return "open"
-    tokens = block.text.lower().split()
-    density = sum(t.strip(".,;:!?()\"'") in STOP_WORDS for t in tokens) / len(tokens)
-    if density >= STOP_HIGH or density >= STOP_LOW and size >= LONG:
+    tokens = WORD.findall(block.text.lower())
+    density = sum(map(STOP_WORDS.__contains__, tokens)) / max(1, len(tokens))
+    if density >= STOP_HIGH or density >= (STOP_LOW if size < LONG else STOP_LONG):
         return "text"
-    return "open" if density >= STOP_LOW or block.inside else "other"
+    # Hardly a function word in many: no prose. Else the neighbours decide.
+    return "other" if density < STOP_NONE and size >= LONG and not block.inside else "open"
 
 
 def classify(page: str) -> list[Block]:
@@ -228,8 +266,9 @@ def labelled(found: list[Block]) -> list[Block]:
             for j in decided[max(0, at - 1) : at + 1]
             if flow[j].section == b.section
         ]
-        # Without any decided block in its section, an article's block is its text.
-        labels.append(("text", "other")[min(near)[1]] if near else "text" if b.inside else "other")
+        # Without any decided block in its section, an article's block is its text, and so is a page's without any at all.
+        alone = "text" if b.inside or not decided else "other"
+        labels.append(("text", "other")[min(near)[1]] if near else alone)
     for b, label in zip(flow, labels):
         b.label = label
     return found
