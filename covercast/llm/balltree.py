@@ -176,16 +176,19 @@ def top_k(
     """(query_id, rank, vec_id, score) of the k best candidates of every row for which ``is_query`` holds.
 
     Scores are inner products of ``floor(256 x)``, exact; ties go to the smaller id; a row is no candidate of its own. Rows
-    with a null id, and vectors null or with a null or non-finite component, take no part; of rows that repeat an id the
-    smallest vector counts; vectors of different length are not compared. Products beyond a long stop at its
+    with a null id, and vectors null or with a null or non-finite component, take no part; every other row with another id is a
+    candidate, also rows that repeat an id, and the query rows of one id share one list, in which a candidate stands once for each of them;
+    vectors of different length are not compared. Products beyond a long stop at its
     limits. Fewer candidates than k give fewer rows, an empty table none.
     """
     spark = vectors.sparkSession
     importable(spark)
     named = vectors.select(F.col(key).cast("bigint").alias("vec_id"), integers(F.col(vector)).alias("v"), is_query.alias("q"))
     rows = named.filter(F.col("vec_id").isNotNull() & F.col("v").isNotNull())
-    rows = rows.groupBy("vec_id").agg(F.min(F.struct("v", "q")).alias("x"))
-    rows = written(rows.select("vec_id", "x.v", "x.q", F.size("x.v").alias("dim")), "vectors")
+    # Of equal rows more than k never show.
+    rows = rows.groupBy("vec_id", "v", "q").agg(F.least(F.count("*"), F.lit(k)).cast("int").alias("n"))
+    copies = F.explode(F.sequence(F.lit(1), F.col("n"))).alias("copy")
+    rows = written(rows.select("vec_id", "v", "q", F.size("v").alias("dim"), copies), "vectors")
     sizes = rows.groupBy("dim").agg(F.count("*").alias("n"), F.count(F.when(F.col("q"), 1)).alias("nq"))
     sizes = written(
         sizes.select("dim", F.ceil(F.col("n") / shard).alias("shards"), F.ceil(F.col("nq") / block).alias("blocks")), "sizes"
@@ -194,7 +197,7 @@ def top_k(
 
     def packed(part: DataFrame, number: str, name: str) -> DataFrame:
         placed = part.select(
-            "dim", F.pmod(F.xxhash64("vec_id"), F.col(number)).cast("int").alias(name), "vec_id", "v"
+            "dim", F.pmod(F.xxhash64("vec_id", "v"), F.col(number)).cast("int").alias(name), "vec_id", "v"
         )
         return placed.repartition("dim", name).sortWithinPartitions("dim", name, "vec_id")
 

@@ -13,26 +13,24 @@ SCHEMA = "vec_id bigint, embedding array<float>, v string, shard int"
 
 
 def direct(rows, every, k=5):
-    valid = {}
-    for i, v in rows:
-        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v):
-            ints = [math.floor(256 * float(np.float32(x))) for x in v]
-            valid[i] = min(valid.get(i, ints), ints)
-    out = set()
-    for q in valid:
+    """As the SQL of the query: every row with another id, the query rows of one id together."""
+    valid = [
+        (i, [math.floor(256 * float(np.float32(x))) for x in v])
+        for i, v in rows
+        if i is not None and v is not None and all(x is not None and math.isfinite(x) for x in v)
+    ]
+    scored = {}
+    for q, v in valid:
         if q % every == 0:
-            scores = sorted(
-                (-sum(a * b for a, b in zip(valid[q], valid[c])), c)
-                for c in valid
-                if c != q and len(valid[c]) == len(valid[q])
+            scored.setdefault(q, []).extend(
+                (-sum(a * b for a, b in zip(v, w)), c) for c, w in valid if c != q and len(w) == len(v)
             )
-            out |= {(q, r, c, -s) for r, (s, c) in enumerate(scores[:k], 1)}
-    return out
+    return sorted((q, r, c, -s) for q, found in scored.items() for r, (s, c) in enumerate(sorted(found)[:k], 1))
 
 
 def found(spark, rows, every, **sizes):
     vectors = spark.createDataFrame([(i, v, "x", 1) for i, v in rows], SCHEMA)
-    return {tuple(r) for r in balltree.top_k(vectors, F.col("vec_id") % every == 0, **sizes).collect()}
+    return sorted(tuple(r) for r in balltree.top_k(vectors, F.col("vec_id") % every == 0, **sizes).collect())
 
 
 def test_equals_all_pairs_over_shards_and_blocks(spark):
@@ -50,6 +48,14 @@ def test_odd_vectors(spark):
     assert found(spark, rows, 10) == direct(rows, 10)
 
 
+def test_rows_that_repeat_an_id(spark):
+    """Other vectors of an id, equal rows by the thousand, and query rows of one id, over small shards."""
+    rng = np.random.default_rng(9)
+    rows = [(int(rng.integers(0, 40)), rng.integers(-2, 3, 3).astype(float).tolist()) for _ in range(300)]
+    rows += [(41, [9.0, 9.0, 9.0])] * 3000 + [(0, [1.0, 1.0, 1.0])] * 7
+    assert found(spark, rows, 10, shard=40, block=3) == direct(rows, 10)
+
+
 def test_large_components_stay_exact(spark):
     rows = [(i, [float(2**20 + 3 * i), float(-(2**19)), 1.0 / (i + 1)]) for i in range(20)]
     expected = direct(rows, 5)
@@ -58,9 +64,9 @@ def test_large_components_stay_exact(spark):
 
 
 def test_few_candidates_and_empty_tables(spark):
-    assert found(spark, [(0, [1.0])], 1) == set()
-    assert found(spark, [(0, [1.0]), (1, [2.0])], 1) == {(0, 1, 1, 256 * 512), (1, 1, 0, 256 * 512)}
-    assert found(spark, [], 1) == set()
+    assert found(spark, [(0, [1.0])], 1) == []
+    assert found(spark, [(0, [1.0]), (1, [2.0])], 1) == [(0, 1, 1, 256 * 512), (1, 1, 0, 256 * 512)]
+    assert found(spark, [], 1) == []
 
 
 def test_bounds_hold_for_every_node():
