@@ -1,5 +1,6 @@
 """Token files, BPE and the piece-wise encoding behind both, against the tokenizers library on whole texts."""
 
+import hashlib
 import zlib
 
 import numpy as np
@@ -128,3 +129,26 @@ def test_registered_queries_cover_all_documents(spark, library):
         assert (rows[i].start, rows[i].n_tokens) == (start, len(ids))
         assert rows[i].ids_crc32 == zlib.crc32(np.array(ids, "<u4").tobytes())
         start += len(ids)
+
+
+def test_op10_equals_the_library_on_every_document(spark, library):
+    texts = {r.doc_id: r.text or "" for r in spark.read.parquet("/root/testdata/sf0.001/documents.parquet").collect()}
+    rows = QUERIES["op10_bpe"](spark, "/root/testdata/sf0.001").collect()
+    assert sorted(r.doc_id for r in rows) == sorted(texts)
+    for r in rows:
+        ids = whole(library, texts[r.doc_id])
+        back = library.decode(ids, skip_special_tokens=False)
+        assert r.n_tokens == len(ids)
+        assert r.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert r.decoded_sha256 == hashlib.sha256(back.encode()).hexdigest()
+
+
+def test_one_pass_equals_encoding_then_decoding(spark, monkeypatch):
+    monkeypatch.setattr(bpe, "BOTH_CHARS", 5)
+    rows = [(1, "Hello there, <|endoftext|> you"), (None, None), (2, ""), (2, "é\u00a0 x  "), (3, "a" * 300)]
+    docs = spark.createDataFrame([(k, t, "x") for k, t in rows], "doc_id int, text string, ids string")
+    one = bpe.encode_decode(docs, tokenizer_path())
+    two = bpe.decode(bpe.encode(docs, tokenizer_path()), tokenizer_path())
+    assert one.schema == two.schema
+    assert sorted(map(repr, one.collect())) == sorted(map(repr, two.collect()))
+    assert bpe.encode_decode(docs.limit(0), tokenizer_path()).count() == 0
