@@ -122,7 +122,8 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality.score(docs.select("doc_id", "text"), model)
     return scored.select(
         "doc_id",
-        quality.held_out().alias("held_out"),
+        # A row without a key teaches nothing, but no lot holds it out.
+        F.coalesce(quality.held_out(), F.lit(False)).alias("held_out"),
         "score",
         (F.col("score") >= quality.THRESHOLD).cast("int").alias("predicted"),
     )

@@ -54,3 +54,27 @@ def test_held_out_labels_teach_nothing(spark):
     turned = labels.withColumn("quality", F.when(quality.held_out(), 1 - F.col("quality")).otherwise(F.col("quality")))
     a, b = quality.learn(docs, labels), quality.learn(docs, turned)
     assert (a.vectors == b.vectors).all() and (a.labels == b.labels).all() and len(a.labels) < 60
+
+
+def test_query_equals_votes_document_by_document(spark, tmp_path):
+    given = {t: spark.read.parquet(f"/root/testdata/sf0.001/{t}.parquet") for t in ("documents", "labels")}
+    extra = [(None, "no key"), (None, None), (10**7, None)]
+    docs = given["documents"].select("doc_id", "text").unionByName(spark.createDataFrame(extra, "doc_id bigint, text string"))
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    given["labels"].write.parquet(f"{tmp_path}/labels.parquet")
+    model = quality.learn(spark.read.parquet(f"{tmp_path}/documents.parquet"), spark.read.parquet(f"{tmp_path}/labels.parquet"))
+
+    def vote(text):
+        (x,) = model.project(quality.quantized(quality.term_counts(text or ""))[None, :])
+        near = sorted(((float(x @ v), y) for v, y in zip(model.vectors, model.labels)), reverse=True)[: model.neighbours]
+        weights = [max(c, 0) ** 8 + 1e-9 for c, _ in near]
+        return sum(w * y for w, (_, y) in zip(weights, near)) / sum(weights)
+
+    rows = QUERIES["op8_quality"](spark, str(tmp_path)).collect()
+    texts = {r.doc_id: r.text for r in docs.collect() if r.doc_id is not None}
+    assert len(rows) == len(texts) + 2
+    for r in rows:
+        assert r.held_out is (r.doc_id is not None and zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert r.predicted == int(r.score >= 0.3)
+        if r.doc_id is not None and (texts[r.doc_id] or "").strip():
+            assert r.score == pytest.approx(vote(texts[r.doc_id]), rel=1e-3, abs=1e-4)
