@@ -2,22 +2,17 @@
 
 from __future__ import annotations
 
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+from covercast.shared import importable, shared_folder
 
-
-def work_folder(spark: SparkSession) -> str:
-    """The folder named in ``spark.checkpoint.dir``; where it is unset, one beside the warehouse tables."""
-    named = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.sparkContext.getCheckpointDir()
-    return named or spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
+__all__ = ["fresh_path", "importable", "partitions", "written"]
 
 
 def fresh_path(spark: SparkSession, tag: str) -> str:
-    return f"{work_folder(spark).rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    return f"{shared_folder(spark)}/{tag}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, tag: str) -> DataFrame:
@@ -28,13 +23,5 @@ def written(df: DataFrame, tag: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def importable(spark: SparkSession) -> None:
-    """Let Python workers that start from now on import this package from where the driver has it."""
-    env = spark.sparkContext.environment
-    paths = env.get("PYTHONPATH", "").split(os.pathsep)
-    if ROOT not in paths:
-        env["PYTHONPATH"] = os.pathsep.join([ROOT, *filter(None, paths)])
-
-
 def partitions(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
