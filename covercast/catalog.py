@@ -573,7 +573,7 @@ def metrics_by_shift(judged):
 
 
 #: The registered fits are shorter than ``BoostParams()``; README has time and AUC of both.
-SHORT = model.BoostParams(trees=40, step=0.3, patience=10)
+SHORT = model.BoostParams(trees=40, step=0.3, patience=20)
 
 
 def _slot_rows(spark, sf_dir):
