@@ -11,12 +11,13 @@ therefore never shuffled and never compared with the bookings pair by pair.
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from covercast.functions.basic import ratio_or_zero
+from covercast.functions.basic import is_true, let, ratio_or_zero
 from covercast.keys import INSTANCE
 
 LAST_DAY = 365
@@ -27,9 +28,14 @@ def _lead() -> Column:
     return F.datediff("shift_date", "creation_day")
 
 
+def horizon_list(lo: int = 0, hi: int = 180, extra: Iterable[int] = (365,)) -> list[int]:
+    """The snapshot horizons: lo..hi and single extra days."""
+    return [*range(lo, hi + 1), *(x for x in extra if not lo <= x <= hi)]
+
+
 def horizon_days(lo: int = 0, hi: int = 180, extra: Iterable[int] = (365,)) -> Column:
-    """The snapshot horizons as a constant array: lo..hi and single extra days."""
-    return F.array(*[F.lit(d) for d in [*range(lo, hi + 1), *(x for x in extra if not lo <= x <= hi)]])
+    """The snapshot horizons as a constant array."""
+    return F.array(*[F.lit(d) for d in horizon_list(lo, hi, extra)])
 
 
 def horizon_filter(df: DataFrame, lo: int = 0, hi: int = 180, extra: Iterable[int] = (365,)) -> DataFrame:
@@ -239,6 +245,114 @@ def running_features(
     )
 
 
+def _summed_entries(booked: T.DataType, horizons: Iterable[int]) -> tuple[Column, Callable[[Column], Column]]:
+    """The ``booked`` array by booking day, with sums up to each entry; and the number of horizons up to a day.
+
+    An entry is visible ``l`` days ahead and later, and recent up to 7 days after. So of the snapshots before the one ``d`` days
+    ahead it stood in those with horizons above ``d`` and up to ``l``, and was recent in those of them from ``l - 7`` on.
+    """
+    days = sorted(set(horizons))
+    counts = F.array(*[F.lit(sum(h <= d for h in days)) for d in range(days[-1] + 1)])
+
+    def up_to(day: Column) -> Column:
+        return F.when(day < 0, 0).otherwise(F.get(counts, F.least(day, F.lit(days[-1]))))
+
+    entries = F.transform(
+        F.array_sort(F.coalesce("booked", F.array().cast(booked))),
+        lambda b: F.struct(
+            b["creation_day"].alias("creation_day"),
+            b["covers_created_on_day"].alias("covers_created_on_day"),
+            b["reservations_created_on_day"].alias("reservations_created_on_day"),
+            F.datediff("shift_date", b["creation_day"]).alias("lead"),
+            F.coalesce(b["covers_created_on_day"], F.lit(0)).alias("covers"),
+            F.coalesce(b["reservations_created_on_day"], F.lit(0)).alias("reservations"),
+        ),
+    )
+    names = ["all_covers", "all_reservations", "shown_covers", "shown_reservations", "recent_covers"]
+
+    def add(state: Column, e: Column) -> Column:
+        seen, recent = up_to(e["lead"]), up_to(e["lead"]) - up_to(e["lead"] - 8)
+        more = [e["covers"], e["reservations"], e["covers"] * seen, e["reservations"] * seen, e["covers"] * recent]
+        sums = F.struct(*[(state["sums"][n] + m).alias(n) for n, m in zip(names, more)])
+        return F.struct(sums.alias("sums"), F.array_append(state["listed"], F.struct(e.alias("entry"), sums.alias("sums"))).alias("listed"))
+
+    def listed(ordered: Column) -> Column:
+        zero = F.struct(*[F.lit(0).cast("bigint").alias(n) for n in names])
+        none = F.filter(F.transform(ordered, lambda e: F.struct(e.alias("entry"), zero.alias("sums"))), lambda _: F.lit(False))
+        return F.aggregate(ordered, F.struct(zero.alias("sums"), none.alias("listed")), add, lambda state: state["listed"])
+
+    return let(entries, listed), up_to
+
+
+def running_visible(gathered: DataFrame, horizons: Iterable[int]) -> DataFrame:
+    """``running_features`` of ``visible_bookings`` for sittings whose capacity rows are an array ``definitions`` of structs.
+
+    The running totals follow from sums over the bookings of the sitting, so its snapshots are listed with them in place:
+    the expanded rows are neither sorted nor held. Capacity rows run in the order of their fields.
+    """
+    horizons = list(horizons)
+    entries, up_to = _summed_entries(gathered.schema["booked"].dataType, horizons)
+    kept = [c for c in gathered.columns if c not in ("booked", "definitions")]
+    ordered = gathered.filter(F.size("definitions") > 0).select(
+        *kept, F.sort_array("definitions").alias("_definitions"), entries.alias("_entries")
+    )
+    scaffold = snapshot_scaffold(ordered, F.array(*[F.lit(d) for d in horizons]))
+    kept = [*kept, "day_prior", "snapshot_timestamp"]
+    day = F.col("day_prior")
+    seen = scaffold.select(
+        *kept, "_definitions", F.filter("_entries", lambda e: e["entry"]["lead"] >= day).alias("_seen")
+    ).withColumn("_past", F.size(F.filter("_seen", lambda e: e["entry"]["lead"] > day + 7)))
+
+    def sums(at: Column, name: str) -> Column:
+        return F.coalesce(F.get("_seen", at - 1)["sums"][name], F.lit(0))
+
+    size, past = F.size("_seen"), F.col("_past")
+
+    def shown(name: str, start: Column | None = None) -> Column:
+        """What the earlier snapshots showed of the visible bookings, or of those after the first ``start``."""
+        total, times = sums(size, f"all_{name}"), sums(size, f"shown_{name}")
+        if start is not None:
+            total, times = total - sums(start, f"all_{name}"), times - sums(start, f"shown_{name}")
+        return times - up_to(day) * total
+
+    earlier = seen.select(
+        *kept,
+        "_definitions",
+        F.size("_definitions").alias("_copies"),
+        "_past",
+        shown("covers").alias("_covers"),
+        shown("reservations").alias("_reservations"),
+        (sums(past, "recent_covers") + shown("covers", past)).alias("_recent"),
+        sums(past, "all_covers").alias("_older"),
+        F.posexplode_outer("_seen").alias("_place", "_booking"),
+    )
+    each = earlier.select(
+        *kept, "_copies", "_past", "_covers", "_reservations", "_recent", "_older", "_place", "_booking",
+        F.posexplode("_definitions").alias("_copy", "_definition"),
+    )
+    entry, so_far = F.col("_booking.entry"), F.col("_booking.sums")
+    covers, reservations = (F.coalesce(entry[c], F.lit(0)) for c in ("covers", "reservations"))
+    before = [F.coalesce(so_far[f"all_{c}"] - entry[c], F.lit(0)) for c in ("covers", "reservations")]
+    is_recent = is_true(F.col("_place") >= past)
+
+    def total(earlier_rows: Column, own: Column) -> Column:
+        """Every earlier booking stands in a row per capacity row; the own one in those up to this one."""
+        return F.col("_copies") * earlier_rows + (F.col("_copy") + 1) * own
+
+    return each.select(
+        *kept,
+        "_definition.*",
+        entry["creation_day"].alias("creation_day"),
+        entry["covers_created_on_day"].alias("covers_created_on_day"),
+        entry["reservations_created_on_day"].alias("reservations_created_on_day"),
+        total(F.col("_covers") + before[0], covers).alias("covers_as_of_date"),
+        total(F.col("_reservations") + before[1], reservations).alias("reservations_as_of_date"),
+        total(
+            F.col("_recent") + F.when(is_recent, before[0] - F.col("_older")).otherwise(0), F.when(is_recent, covers).otherwise(0)
+        ).alias("covers_last_7_days"),
+    )
+
+
 def party_size_asof(df: DataFrame) -> DataFrame:
     return df.withColumn(
         "avg_party_size_as_of_date",

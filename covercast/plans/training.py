@@ -209,8 +209,8 @@ def training_shift_rich(
     One scan and one aggregation of the reservations feed label, history and
     snapshots. The rows are placed by venue, shift, weekday and month for the
     history means (a group holds the few such dates of the window) and stay
-    there: the running totals name the sitting by those columns too, so the
-    expanded rows are not shuffled.
+    there: the running totals come from sums over a sitting's bookings, so the
+    expanded rows are neither shuffled nor sorted.
     """
     start = years_before(as_of, years)
     sittings = (
@@ -234,19 +234,11 @@ def training_shift_rich(
         )
         for n in asof.VELOCITY_DAYS
     }
-    labelled = (
-        placed.withColumns(means)
-        .select(
-            *INSTANCE, "day_of_week", "month", *means, "booked", "final_actual_covers",
-            F.inline("definitions"),
-        )
-        .withColumn("is_hot", labels.hot_by_ratio(threshold))
-        .drop("final_actual_covers")
-    )
-    visible = asof.visible_bookings(labelled, asof.horizon_days())
-    featured = asof.utilization_asof(
-        asof.party_size_asof(asof.running_features(visible, [*INSTANCE, "day_of_week", "month"]))
+    averaged = placed.withColumns(means).select(
+        *INSTANCE, "day_of_week", "month", *means, "booked", "final_actual_covers", "definitions"
     )
+    visible = asof.running_visible(averaged, asof.horizon_list())
+    featured = asof.utilization_asof(asof.party_size_asof(visible)).withColumn("is_hot", labels.hot_by_ratio(threshold))
     return featured.select(
         "shift_date",
         "venue_key_id",

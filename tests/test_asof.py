@@ -212,3 +212,31 @@ def test_history_and_backtest_windows(spark):
     assert labels.history_window(df, as_of).count() == 4
     assert labels.history_window(df, as_of, years=2).count() == 3
     assert labels.backtest_window(df, as_of).count() == 2
+
+
+def test_running_visible_needs_no_window_over_the_expanded_rows(spark):
+    """Equal to the windows over the expanded rows: several capacity rows, unknown guests, late and old bookings, none at all."""
+    day = dt.date(2024, 3, 1)
+    leads = [(0, 2), (0, 2), (3, None), (7, 4), (8, 1), (15, 5), (180, 3), (200, 6), (365, 7), (400, 8), (-2, 9)]
+    booked = spark.createDataFrame(
+        [(1, "dinner", day, day - dt.timedelta(days=lead), n, n and n + 1) for lead, n in set(leads)]
+        + [(2, "dinner", day, day - dt.timedelta(days=5), 3, 1), (2, "dinner", day, None, 4, 1)],
+        "venue_key_id bigint, persistent_id string, shift_date date, creation_day date, covers_created_on_day bigint, "
+        "reservations_created_on_day bigint",
+    )
+    rows = [(v, "dinner", day, i, c, 10.0 * i) for v in (1, 2, 3, None) for i, c in ((1, None), (1, "a"), (2, "b"))][:-1]
+    sittings = spark.createDataFrame(
+        rows, "venue_key_id bigint, persistent_id string, shift_date date, int_id bigint, shift_category string, util_capacity double"
+    )
+    keys = ["venue_key_id", "persistent_id", "shift_date"]
+    gathered = asof.gathered_bookings(booked)
+    listed = sittings.groupBy(*keys).agg(
+        F.collect_list(F.struct("int_id", "shift_category", "util_capacity")).alias("definitions")
+    )
+    found = asof.running_visible(listed.join(gathered, keys, "full"), asof.horizon_list())
+    plain = asof.running_features(asof.visible_bookings(sittings.join(gathered, keys, "left"), asof.horizon_days()))
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in plan and "Sort" not in plan
+    assert found.select(plain.columns).exceptAll(plain).count() == 0
+    assert plain.exceptAll(found.select(plain.columns)).count() == 0
+    assert found.count() == plain.count() > 182 * 11
