@@ -65,7 +65,9 @@ def shuffled_importances(
     apart; they make the shuffle the same in every run. Null with a single class; a table without rows gives none.
     """
     judged = models.score(model, shuffled(df, list(features), keys, seed))
-    auc = evaluate.metrics_by(judged, "variant").select("variant", "auc_score")
+    found = evaluate.metrics_by(judged, "variant").select("variant", "auc_score")
+    # One row per feature, computed here: the base would be a second pass over all variants.
+    auc = df.sparkSession.createDataFrame(found.collect(), found.schema)
     base = auc.filter("variant IS NULL").select("auc_score").scalar()
     lost = auc.filter("variant IS NOT NULL").select(F.col("variant").alias("feature"), (base - F.col("auc_score")).alias("importance"))
     return lost
