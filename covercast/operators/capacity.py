@@ -31,6 +31,11 @@ SEATING_COLUMNS = [
     "custom_pacing_str", "covers_per_seating_interval", "interval_minutes",
 ]
 
+# Those that the pacing reads.
+PACING_COLUMNS = [
+    "custom_pacing_str", "covers_per_seating_interval", "shift_start_time_min", "shift_end_time_min", "interval_minutes",
+]
+
 
 def denorm_all(default: DataFrame, override: DataFrame) -> DataFrame:
     """Table rows of templates and overrides together."""
@@ -69,15 +74,20 @@ def shift_setting_capacity(denorm: DataFrame, extra: Iterable[str] = ()) -> Data
 
     The seating expressions depend on neither the date nor the single table,
     so equal tables of a shift are counted first and each kind is evaluated
-    once, however many tables, days or copies there are.
+    once, however many tables, days or copies there are. Pacing does not depend
+    on the kind of table either: it is evaluated once per settings of a shift.
     """
     keys = SHIFT_COLUMNS + [c for c in extra if c not in SHIFT_COLUMNS]
     inputs = [c for c in SEATING_COLUMNS if c not in keys]
+    paced = [c for c in PACING_COLUMNS if c not in keys]
     kinds = denorm.groupBy(*keys, *inputs).agg(F.count(F.lit(1)).alias("tables"))
+    seated = table_capacities(kinds).groupBy(*keys, *paced).agg(
+        F.sum(F.col("table_capacity") * F.col("tables")).alias("seats")
+    )
     return (
-        pacing_capacities(table_capacities(kinds))
+        pacing_capacities(seated)
         .groupBy(*keys, "max_shift_capacity")
-        .agg(F.sum(F.col("table_capacity") * F.col("tables")).alias("tables_capacity"))
+        .agg(F.sum("seats").alias("tables_capacity"))
     )
 
 
