@@ -8,17 +8,19 @@ carry min/max and offsets, so that a read of a few documents or of the counts al
 
 from __future__ import annotations
 
+import re
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from covercast.llm.pieces import PieceEncoder, chunks, id_lists, without_cycles
+from covercast.llm.pieces import PieceEncoder, slices, without_cycles
 from covercast.llm.spread import in_order
 from covercast.llm.storage import importable
 
@@ -26,8 +28,8 @@ from covercast.llm.storage import importable
 SPACE_LETTER = "Ġ"
 #: Words that are encoded in one string.
 RUN = 100
-#: Characters of text that are encoded together.
-CHUNK = 6_000_000
+#: Bytes of text that are encoded together.
+CHUNK = 8_000_000
 
 SCHEMA = "part int, doc_id bigint, local_start bigint, n_tokens bigint, tokens array<int>"
 
@@ -42,30 +44,41 @@ def library_encoder(path: str) -> PieceEncoder:
     tokenizer.no_padding()
 
     special = [t.content for t in tokenizer.get_added_tokens_decoder().values()]
+    spelt = re.compile("|".join(map(re.escape, special)) or "(?!)").search
     # Words that begin with their only space can be encoded in one string: an id whose token begins with a space begins a word.
     spaced = np.zeros(tokenizer.get_vocab_size(), bool)
     for token, i in tokenizer.get_vocab().items():
         spaced[i] = token.startswith(SPACE_LETTER)
 
-    def encode(words: list[str]) -> list[bytes]:
-        run = [w for w in words if w[0] == " " and w.count(" ") == 1 and not w.isspace() and not any(s in w for s in special)]
-        found = dict.fromkeys(run, b"")
-        for at in range(0, len(run), RUN):
-            some = run[at : at + RUN]
-            ids = tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids
+    def singly(words: list[str]) -> list[bytes]:
+        encoded = []
+        for at in range(0, len(words), 20_000):
+            some = tokenizer.encode_batch_fast(words[at : at + 20_000], add_special_tokens=False)
+            encoded += [array("i", x.ids).tobytes() for x in some]
+        return encoded
+
+    def in_runs(words: list[str]) -> list[bytes]:
+        encoded: list[bytes] = []
+        for at in range(0, len(words), RUN):
+            some = words[at : at + RUN]
+            ids = np.array(tokenizer.encode_batch_fast(["".join(some)], add_special_tokens=False)[0].ids, "<i4")
             starts = np.flatnonzero(spaced[ids]) * 4
             if len(starts) != len(some):
                 break
-            data = array("i", ids).tobytes()
-            found.update(zip(some, map(data.__getitem__, map(slice, starts.tolist(), [*starts[1:].tolist(), len(data)]))))
-        rest = [w for w in words if not found.get(w)]
-        for at in range(0, len(rest), 20_000):
-            some = rest[at : at + 20_000]
-            encoded = tokenizer.encode_batch_fast(some, add_special_tokens=False)
-            found.update((w, array("i", x.ids).tobytes()) for w, x in zip(some, encoded))
+            data, starts = ids.tobytes(), starts.tolist()
+            encoded += map(data.__getitem__, map(slice, starts, [*starts[1:], len(data)]))
+        return encoded + singly(words[len(encoded) :])
+
+    def encode(words: list[str]) -> list[bytes]:
+        run = [w for w in words if w[0] == " " and w.count(" ") == 1 and not w.isspace() and not spelt(w)]
+        if len(run) == len(words):
+            return in_runs(run)
+        found = dict(zip(run, in_runs(run)))
+        rest = [w for w in words if w not in found]
+        found.update(zip(rest, singly(rest)))
         return [found[w] for w in words]
 
-    return PieceEncoder(encode, special, 400_000, 800_000)
+    return PieceEncoder(encode, special, 700_000, 150_000)
 
 
 def _encode_partition(batches: Iterator[pa.RecordBatch], path: str, end_id: int | None) -> Iterator[pa.RecordBatch]:
@@ -73,17 +86,18 @@ def _encode_partition(batches: Iterator[pa.RecordBatch], path: str, end_id: int
     encoder, end = library_encoder(path), b"" if end_id is None else np.int32(end_id).astype("<i4").tobytes()
     start = 0
     for batch in batches:
-        for at, texts in chunks(batch, 2, CHUNK):
+        for some in slices(batch, 2, CHUNK):
             with without_cycles():
-                lists = id_lists(x + end for x in encoder.texts(texts))
+                lists = encoder.lists(pc.fill_null(some.column(2).cast(pa.string()), ""), end)
             counts = np.diff(np.asarray(lists.offsets)).astype(np.int64)
             starts = start + np.concatenate([[0], np.cumsum(counts)[:-1]])
             start += int(counts.sum())
-            some = batch.slice(at, len(texts))
             yield pa.RecordBatch.from_arrays(
                 [some.column(0), some.column(1), pa.array(starts), pa.array(counts), lists],
                 ["part", "doc_id", "local_start", "n_tokens", "tokens"],
             )
+            del lists
+            pa.default_memory_pool().release_unused()  # else the worker keeps its largest need from task to task
 
 
 def write_tokens(

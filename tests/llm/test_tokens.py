@@ -4,6 +4,7 @@ import hashlib
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pyarrow.parquet as pq
 import pytest
 from hypothesis import given, settings
@@ -11,7 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from covercast.llm import bpe, token_files
-from covercast.llm.pieces import pieces
+from covercast.llm.pieces import pieces, slices
 from covercast.llm.queries import QUERIES, tokenizer_path
 from covercast.llm.storage import fresh_path
 
@@ -48,6 +49,39 @@ def test_both_encoders_equal_the_library_on_any_text(text):
         assert np.frombuffer(encoder.texts([text])[0], "<i4").tolist() == expected
 
 
+@given(st.lists(st.text(alphabet=st.sampled_from("abé東1'!.,?\n\t\x1c\x85\u2003  <|endoftext|>"), max_size=40), max_size=6))
+@settings(max_examples=300, deadline=None)
+def test_columns_of_texts_equal_the_library(texts):
+    tokenizer = Tokenizer.from_file(tokenizer_path()) if not hasattr(whole, "kept") else whole.kept
+    whole.kept = tokenizer
+    end = np.int32(2).astype("<i4").tobytes()
+    expected = [[*whole(tokenizer, t), 2] for t in texts]
+    for encoder in (bpe.bpe_pieces(tokenizer_path()), token_files.library_encoder(tokenizer_path())):
+        assert encoder.lists(pa.array(texts, pa.string()), end).to_pylist() == expected
+
+
+def test_columns_of_texts_with_marks_odd_spaces_and_a_small_memory(library):
+    encoder = bpe.PieceEncoder(bpe.bpe(tokenizer_path()).encode, ["<|endoftext|>", "now!"], piece_limit=4, word_limit=4)
+    texts = [t or "" for t in ODD] + ["One, two... three?! and, and, two", "a\u2003 \x85b", "ends with a space ", "東京, é."] * 3
+    for some in (texts, texts[:1], [], texts):
+        assert encoder.lists(pa.array(some, pa.string())).to_pylist() == [whole(library, t) for t in some]
+    # Sliced columns, and a special string of letters and a mark.
+    column = pa.array(["x"] + texts, pa.string()).slice(1)
+    assert encoder.lists(column).to_pylist() == [whole(library, t) for t in texts]
+    seen = []
+    encoder = bpe.PieceEncoder(lambda words: [seen.append(w) or b"\0\0\0\0" for w in words], ["now!"])
+    encoder.lists(pa.array(["so now! then!"]))
+    assert " now!" in seen and " then!" not in seen and " then" in seen
+
+
+def test_slices_cover_all_rows():
+    batch = pa.RecordBatch.from_pydict({"t": pa.array([None, "ab", "", "abcdef", None, "x"], pa.string())})
+    for size in (1, 2, 5, 100):
+        assert pa.concat_arrays([s.column(0) for s in slices(batch, 0, size)]).equals(batch.column(0))
+    assert [s.num_rows for s in slices(batch.slice(1), 0, 3)] == [3, 2]
+    assert not list(slices(batch.slice(0, 0), 0, 3))
+
+
 @given(st.text(max_size=60))
 @settings(max_examples=200, deadline=None)
 def test_pieces_join_to_the_text(text):
