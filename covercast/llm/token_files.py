@@ -27,7 +27,7 @@ from covercast.llm.storage import importable
 #: Fixed value: the letter that stands for a space in byte-level vocabularies.
 SPACE_LETTER = "Ġ"
 #: Words that are encoded in one string.
-RUN = 100
+RUN = 250
 #: Bytes of text that are encoded together.
 CHUNK = 8_000_000
 
@@ -70,7 +70,7 @@ def library_encoder(path: str) -> PieceEncoder:
         return encoded + singly(words[len(encoded) :])
 
     def encode(words: list[str]) -> list[bytes]:
-        run = [w for w in words if w[0] == " " and w.count(" ") == 1 and not w.isspace() and not spelt(w)]
+        run = [w for w in words if w[0] == " " and (w[1:].isalpha() or w.count(" ") == 1 and not w.isspace() and not spelt(w))]
         if len(run) == len(words):
             return in_runs(run)
         found = dict(zip(run, in_runs(run)))
