@@ -4,8 +4,10 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from covercast import catalog
 from covercast.operators import capacity, evaluate, slots
-from covercast.plans import importance
+from covercast.plans import importance, model, training, upcoming
+from covercast.shared import stored_over_cores
 from covercast.sources import benchmark
 
 AS_OF = dt.date(2001, 1, 1)
@@ -54,3 +56,48 @@ def test_importances_score_the_variants_once(spark, monkeypatch):
     found = importance.shuffled_importances(None, made, ["a", "b"], ["variant"])
     assert sorted((r.feature, round(r.importance, 6)) for r in found.collect()) == [("a", 0.4), ("b", 0.0)]
     assert passes.value == 3
+
+
+def slot_tables(spark, folder):
+    """Ten venues with templates, overrides and reservations, some of which come twice."""
+    number = "cast({} as int)".format
+    spark.range(1000).selectExpr("id as p_partkey", f"{number('id % 50')} as p_size", "'kind ' || id % 3 as p_type").write.parquet(f"{folder}/part.parquet")
+    spark.range(50).selectExpr("id as s_suppkey", "'name ' || id as s_name").write.parquet(f"{folder}/supplier.parquet")
+    spark.range(6000).selectExpr(
+        "id % 5500 as l_orderkey", "id * 7 % 1000 as l_partkey", "id * 3 % 50 as l_suppkey", f"{number('id % 7')} as l_linenumber",
+        "cast(id % 50 as double) as l_quantity", "element_at(array('R', 'A', 'N'), " + number("id % 3") + " + 1) as l_returnflag",
+        "timestamp_ntz'1995-01-02 00:00:00' + make_dt_interval(" + number("id % 500") + ") as l_shipdate",
+    ).write.parquet(f"{folder}/lineitem.parquet")
+    return str(folder)
+
+
+def test_kept_sittings_and_settings_give_the_same_slots(spark, tmp_path):
+    src = benchmark.sources(spark, slot_tables(spark, tmp_path))
+    settings = capacity.all_setting_capacity(src, capacity.SLOT_COLUMNS)
+    for plan in (training.training_slot, upcoming.upcoming_slot):
+        plain = plan(src, benchmark.AS_OF, benchmark.NOW)
+        kept = plan(src, benchmark.AS_OF, benchmark.NOW, keep=stored_over_cores, settings=settings)
+        assert plain.columns == kept.columns
+        wanted = sorted(map(repr, plain.collect()))
+        assert wanted and sorted(map(repr, kept.collect())) == wanted
+
+
+def test_scores_evaluate_the_settings_once_and_hold_no_copy_of_the_rows(spark, monkeypatch, tmp_path):
+    folder = slot_tables(spark, tmp_path)
+    evaluated, held = [], []
+    build, fit = capacity.shift_setting_capacity, model.PipelineModel
+    cached = lambda: spark._jsparkSession.sharedState().cacheManager().isEmpty()
+    monkeypatch.setattr(capacity, "shift_setting_capacity", lambda *a, **k: (evaluated.append(1), build(*a, **k))[1])
+    monkeypatch.setattr(model, "PipelineModel", lambda stages: (held.append(not cached()), fit(stages))[1])
+    monkeypatch.setattr(catalog, "SHORT", model.BoostParams(trees=2, step=0.3, patience=1))
+    spark.catalog.clearCache()
+    scores = catalog.queries()["model_scores"](spark, folder)
+    assert held == [False] and len(evaluated) == 1
+    assert scores.count() == upcoming.upcoming_slot(benchmark.sources(spark, folder), benchmark.AS_OF, benchmark.NOW).count() > 0
+
+
+def test_few_stored_rows_stay_in_place_and_many_are_dealt_out(spark):
+    cores = spark.sparkContext.defaultParallelism
+    few, many = (stored_over_cores(spark.range(n).coalesce(1), "numbers") for n in (500, 20_000))
+    assert few.rdd.getNumPartitions() == 1 and many.rdd.getNumPartitions() == cores
+    assert (few.count(), many.count(), many.distinct().count()) == (500, 20_000, 20_000)
